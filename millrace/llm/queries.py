@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import crosssplit, encoding, leakage, mixing, neardup, packing, tokens
+from millrace.llm import crosssplit, encoding, leakage, mixing, neardup, packing, pii, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,8 @@ QUERIES: dict[str, Query] = {
     "p7_found": leakage.leaked_found,
     "p7_tiles": leakage.leaked,
     "p7_items": leakage.leaked_items,
+    "p8_found": pii.personal_found,
+    "p8_redacted": pii.redacted,
 }
 
 SQL: dict[str, str] = {
