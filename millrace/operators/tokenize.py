@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,11 @@ def encode(df: DataFrame, text: str, tokenizer, out: str = "tokens") -> DataFram
     """Add the ids of each text as an int array; null and empty texts have none. An id outside the vocabulary is an error."""
     size = vocabulary_size(tokenizer)
     schema = df.select("*", F.array().cast("array<int>").alias(out)).schema
-    shared = df.sparkSession.sparkContext.broadcast(tokenizer)
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(tokenizer))
     at = df.columns.index(text)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = shared.value
+        tok = pickle.loads(shared.value)
         for batch in it:
             ids = [tok.encode(t, add_special_tokens=False) if t else [] for t in batch.column(at).to_pylist()]
             if any(i < 0 or i >= size for row in ids for i in row):

@@ -43,7 +43,7 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
     fs, p = _file(spark, path)
     if not fs.exists(p):
         return None
-    rows = spark.read.option("wholetext", "true").text(path).collect()  # one small file
+    rows = spark.read.text(path, wholetext=True).collect()  # one small file
     return json.loads(rows[0]["value"]) if rows else None
 
 

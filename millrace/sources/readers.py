@@ -86,7 +86,7 @@ def read_raw_jsonl(spark: SparkSession, path: str, source_id: str, field: str =
     One mirror is one file read in one task, as its ordinals follow its lines;
     mirrors are read beside each other.
     """
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     row = whole.select(F.posexplode(F.filter(F.split("value", "\n"), lambda x: ~is_blank(x))).alias("ordinal", "line"))
     parsed = F.parse_json("line")
     return row.select(F.lit(source_id).alias("source_id"), F.col("ordinal").cast("bigint").alias("ordinal"), F.try_variant_get(parsed, f"$.{field}", "string").alias("text"))
