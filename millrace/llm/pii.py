@@ -6,8 +6,9 @@ Personal names have none. Which words disclose a person is estimated from the
 whole corpus: words that stand where a person is announced ("Sayin ...",
 "Written by: ...") are counted together with all occurrences of the same words
 and with the partners they stand beside. A given name, and a surname or its
-ending, is disclosive if the pointwise mutual information between the word and
-a person's place is high and its partners are many - a title of an office is
+ending, is disclosive if the word and a person's place have positive pointwise
+mutual information, if the word discloses the place with a high share of its
+occurrences, and if its partners are many - a title of an office is
 always the same two words, a given name stands beside many surnames. Runs of
 disclosive given names and surnames are then mentions wherever they stand, in
 either order and any case.
@@ -40,8 +41,8 @@ from pyspark.sql import functions as F
 from millrace.storage import materialize
 
 MOST_TERMS = 100_000
-#: Nats of pointwise mutual information that a given name (it may be a common word too), a surname and a whole mention have at least.
-GIVEN_PMI, LAST_PMI, MENTION_PMI = 2.0, 5.5, 8.0
+#: Share of a word's occurrences that stand at a person's place, for a given name (it may be a common word too), for a surname, and the product of both for a mention.
+GIVEN_SHARE, LAST_SHARE, MENTION_SHARE = 0.004, 0.13, 0.0008
 #: Different partners that a term has at least, and those of a whole surname.
 PARTNERS, SURNAME_PARTNERS = 2, 3
 #: Letters of a surname's ending.
@@ -255,7 +256,7 @@ def _endings(c: Column) -> Column:
 
 
 def disclosive(docs: DataFrame) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
-    """Given names, surnames and surname endings with the mutual information of each, from all documents."""
+    """Given names, surnames and surname endings with the share of occurrences by which each discloses a person, from all documents."""
     pairs, terms = _statistics(docs)
     nouns = list(NOT_PERSONS)
     pairs = pairs.filter(~F.col("first").isin(nouns) & ~F.col("last").isin(nouns))
@@ -263,11 +264,11 @@ def disclosive(docs: DataFrame) -> tuple[dict[str, float], dict[str, float], dic
     endings_all = terms.select(F.explode(_endings(F.col("term"))).alias("term"), "n").groupBy("term").agg(F.sum("n").alias("n"))
 
     def strong(rows: DataFrame, occurrences: DataFrame, total: int, least: float, partners: int) -> DataFrame:
-        """Of (term, partner, n), the terms with enough counts, partners and mutual information."""
-        base = math.log(total / words)
+        """Of (term, partner, n), the terms with enough counts and partners, a share of at least ``least`` and positive mutual information."""
         held = rows.groupBy("term").agg(F.sum("n").alias("a"), F.approx_count_distinct("partner").alias("d")).filter((F.col("a") >= max(1, -(-total // MOST_TERMS))) & (F.col("d") >= partners))
-        scored = held.join(occurrences, "term").withColumn("pmi", F.log(F.least(F.lit(1.0), F.col("a") / F.col("n"))) - base)
-        return scored.filter(F.col("pmi") >= least).select("term", "pmi", "a")
+        scored = held.join(occurrences, "term").withColumn("share", F.least(F.lit(1.0), F.col("a") / F.col("n")))
+        pmi = F.log(F.col("share")) - math.log(total / words)
+        return scored.filter((F.col("share") >= least) & (pmi > 0)).select("term", "share", "a")
 
     def by_ending(rows: DataFrame) -> DataFrame:
         return rows.select(F.explode(_endings(F.col("last"))).alias("term"), F.col("first").alias("partner"), "n")
@@ -281,21 +282,21 @@ def disclosive(docs: DataFrame) -> tuple[dict[str, float], dict[str, float], dic
     total = announced.agg(F.sum("n")).first()[0] or 0
     if not total or not words:
         return {}, {}, {}
-    endings = strong(by_ending(announced), endings_all, total, LAST_PMI, PARTNERS)
+    endings = strong(by_ending(announced), endings_all, total, LAST_SHARE, PARTNERS)
     # a second look with every pair whose surname has a disclosive ending, announced or not
     either = pairs.groupBy("first", "last").agg(F.max("n").alias("n"))
     seen = materialize(ended(either, endings), "seeds")
     total = seen.agg(F.sum("n")).first()[0] or 0
     if not total:
         return {}, {}, {}
-    lasting = strong(by_ending(seen), endings_all, total, LAST_PMI, PARTNERS)
-    surnames = strong(seen.select(F.col("last").alias("term"), F.col("first").alias("partner"), "n"), terms, total, LAST_PMI, SURNAME_PARTNERS)
-    given = materialize(strong(seen.select(F.col("first").alias("term"), F.col("last").alias("partner"), "n"), terms, total, GIVEN_PMI, PARTNERS), "lexicon")
+    lasting = strong(by_ending(seen), endings_all, total, LAST_SHARE, PARTNERS)
+    surnames = strong(seen.select(F.col("last").alias("term"), F.col("first").alias("partner"), "n"), terms, total, LAST_SHARE, SURNAME_PARTNERS)
+    given = materialize(strong(seen.select(F.col("first").alias("term"), F.col("last").alias("partner"), "n"), terms, total, GIVEN_SHARE, PARTNERS), "lexicon")
     # a word that stands before given names more often than before surnames announces persons and isn't a name
     names = given.select(F.col("term").alias("g"))
     before = either.join(F.broadcast(names), F.col("last") == F.col("g"), "left_semi").groupBy("first").agg(F.sum("n").alias("b"))
     given = given.join(before, F.col("term") == F.col("first"), "left").filter(F.coalesce("b", F.lit(0)) < F.col("a"))
-    as_dict = lambda df: {r["term"]: r["pmi"] for r in df.collect()}
+    as_dict = lambda df: {r["term"]: r["share"] for r in df.collect()}
     return as_dict(given), as_dict(surnames), as_dict(lasting)
 
 
@@ -308,7 +309,7 @@ class NameFinder:
         self.given, self.surnames, self.endings = given, surnames, endings
 
     def surname(self, word: str) -> float:
-        """Information of a surname, plain or double; 0 if it is none."""
+        """Share of a surname, plain or double; 0 if it is none."""
         return min(max(self.surnames.get(w, 0.0), *(self.endings.get(w[-k:], 0.0) for k in ENDINGS if len(w) >= k + 2), 0.0) for w in word.split("-"))
 
     def find(self, folded: str) -> list[tuple[int, int]]:
@@ -362,10 +363,10 @@ class NameFinder:
             for k in (2, 1):
                 if i + k < n and all(joined(j, False) for j in range(i, i + k)) and all(tokens[j][2] in given for j in range(i, i + k)):
                     score = self.surname(tokens[i + k][2])
-                    if score and tokens[i + k][2] not in NOT_PERSONS and score + given[word] >= MENTION_PMI and not self._place(tokens, i + k, n, joined):
+                    if score and tokens[i + k][2] not in NOT_PERSONS and score * given[word] >= MENTION_SHARE and not self._place(tokens, i + k, n, joined):
                         return i + k
         score = self.surname(word)
-        if score and i + 1 < n and joined(i, True) and tokens[i + 1][2] in given and score + given[tokens[i + 1][2]] >= MENTION_PMI:
+        if score and i + 1 < n and joined(i, True) and tokens[i + 1][2] in given and score * given[tokens[i + 1][2]] >= MENTION_SHARE:
             last = i + 1
             if i + 2 < n and joined(i + 1, False) and tokens[i + 2][2] in given and not (i + 3 < n and joined(i + 2, False) and self.surname(tokens[i + 3][2])):
                 last = i + 2
