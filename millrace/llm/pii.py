@@ -107,6 +107,8 @@ _BRACKETED_DOT = r"\s*[\[({]\s*(?:dot|nokta|\.)\s*[\])}]\s*"
 _DOT = rf"(?:\.|{_BRACKETED_DOT}|\s(?:dot|nokta)\s)"
 _AT = r"(?:\s?@\s?|\s*[\[({]\s*(?:at|et|a|@)\s*[\])}]\s*|\s(?:at|et)\s)"
 EMAIL = re.compile(rf"(?<![A-Za-z0-9._%+-]){_LOCAL}(?P<at>{_AT})(?P<domain>{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}(?P<last>[A-Za-z]{{2,}}))(?![A-Za-z0-9])", re.I)
+#: No address with a spelled-out sign lacks this.
+_SPELLED = re.compile(r"nokta|\bdot\b|[\[({]\s*(?:at|et|a)\s*[\])}]", re.I)
 #: Endings of file names (fixed values).
 FILE_ENDINGS = frozenset("png jpg jpeg gif webp svg bmp tif tiff ico pdf css js json csv txt py html htm xml zip gz mp3 mp4 avi mov doc docx xls xlsx ppt pptx".split())
 
@@ -151,7 +153,7 @@ def formed(folded: str) -> list[tuple[int, int, str]]:
         if not any(start < e and s < end for s, e, _ in taken):
             taken.append((start, end, kind))
 
-    for m in EMAIL.finditer(folded):
+    for m in EMAIL.finditer(folded) if "@" in folded or _SPELLED.search(folded) else ():
         spelled = m["at"].strip().lower()
         if m["last"].lower() in FILE_ENDINGS:
             continue
@@ -193,8 +195,9 @@ NOT_PERSONS = frozenset(
     " sirketi bankasi gazetesi dergisi odasi birligi sendikasi bakanligi valiligi kaymakamligi muhtarligi baskanligi"
     " street road lane avenue close drive way court place terrace square hall society council institute bridge park school college university hospital house committee association club museum library church station board editor team office department madam".split()
 )
-SEED_A = re.compile(rf"{_BEFORE}(?P<run>{_NAME_WORD}\s{_NAME_WORD}(?:[ \t]{_NAME_WORD})?(?:-{_NAME_WORD})?)", re.I)
-SEED_B = re.compile(rf"{_BEFORE}(?P<last>{_NAME_WORD}(?:-{_NAME_WORD})?),\s(?P<first>{_NAME_WORD})", re.I)
+SEED = re.compile(_BEFORE, re.I)
+SEED_A = re.compile(rf"(?P<run>{_NAME_WORD}\s{_NAME_WORD}(?:[ \t]{_NAME_WORD})?(?:-{_NAME_WORD})?)", re.I)
+SEED_B = re.compile(rf"(?P<last>{_NAME_WORD}(?:-{_NAME_WORD})?),\s(?P<first>{_NAME_WORD})", re.I)
 CAPITALS = re.compile(r"(?=(?<![A-Za-z])([A-Z][A-Za-z]+)\s([A-Z][A-Za-z]+)(?![A-Za-z]))")
 TOKEN = re.compile(r"[A-Za-z]{2,}")
 
@@ -205,14 +208,19 @@ def _blank(folded: str, spans: list[tuple[int, int, str]]) -> str:
     return folded
 
 
+def announced(folded: str) -> Iterator[re.Match]:
+    """Words that may be a name after a phrase that announces a person: matches of SEED_B where it fits, else of SEED_A."""
+    for m in SEED.finditer(folded):
+        found = SEED_B.match(folded, m.end()) or SEED_A.match(folded, m.end())
+        if found:
+            yield found
+
+
 def name_pairs(folded: str) -> Iterator[tuple[str, str, int]]:
     """(first, last, announced) of words that might be a given name and a surname; in lower case."""
-    seen: set[int] = set()
-    for m in SEED_B.finditer(folded):
-        seen.add(m.start())
-        yield m["first"].lower(), m["last"].lower().split("-")[0], 1
-    for m in SEED_A.finditer(folded):
-        if m.start() in seen:
+    for m in announced(folded):
+        if m.re is SEED_B:
+            yield m["first"].lower(), m["last"].lower().split("-")[0], 1
             continue
         run = m["run"]
         words = re.split(r"\s", run)
@@ -315,12 +323,11 @@ class NameFinder:
     def find(self, folded: str) -> list[tuple[int, int]]:
         """Spans of names: disclosive words anywhere, and capital words where a person is announced."""
         found = list(self._disclosed(folded))
-        for pattern in (SEED_B, SEED_A):
-            for m in pattern.finditer(folded):
-                span = self._announced_b(m) if pattern is SEED_B else self._announced_a(m)
-                if span and all(span[0] <= s and e <= span[1] for s, e in found if span[0] < e and s < span[1]):
-                    # a longer announced name takes the place of the parts found in it
-                    found = [x for x in found if not (span[0] < x[1] and x[0] < span[1])] + [span]
+        for m in announced(folded):
+            span = self._announced_b(m) if m.re is SEED_B else self._announced_a(m)
+            if span and all(span[0] <= s and e <= span[1] for s, e in found if span[0] < e and s < span[1]):
+                # a longer announced name takes the place of the parts found in it
+                found = [x for x in found if not (span[0] < x[1] and x[0] < span[1])] + [span]
         return found
 
     @staticmethod
@@ -340,43 +347,49 @@ class NameFinder:
         return start, start + len("".join(words)) + len(words) - 1
 
     def _disclosed(self, folded: str) -> Iterator[tuple[int, int]]:
-        tokens = [(m.start(), m.end(), m[0].lower()) for m in self.RUN.finditer(folded)]
-
-        def joined(i: int, comma: bool) -> bool:
-            gap = folded[tokens[i][1] : tokens[i + 1][0]]
-            return gap.count("\n") < 2 and len(gap) <= 4 and ((gap[0] == "," and gap[1:].isspace()) if comma else gap.isspace())
-
-        i, n = 0, len(tokens)
-        while i < n:
-            end = self._at(tokens, i, n, joined)
-            if end:
-                yield tokens[i][0], tokens[end][1]
-                i = end + 1
-            else:
-                i += 1
-
-    def _at(self, tokens, i, n, joined) -> int:
-        """Index of the last word of a name that starts with word ``i``, or 0."""
+        tokens = list(self.RUN.finditer(folded.lower()))
         given = self.given
-        word = tokens[i][2]
-        if word in given:
-            for k in (2, 1):
-                if i + k < n and all(joined(j, False) for j in range(i, i + k)) and all(tokens[j][2] in given for j in range(i, i + k)):
-                    score = self.surname(tokens[i + k][2])
-                    if score and tokens[i + k][2] not in NOT_PERSONS and score * given[word] >= MENTION_SHARE and not self._place(tokens, i + k, n, joined):
-                        return i + k
-        score = self.surname(word)
-        if score and i + 1 < n and joined(i, True) and tokens[i + 1][2] in given and score * given[tokens[i + 1][2]] >= MENTION_SHARE:
-            last = i + 1
-            if i + 2 < n and joined(i + 1, False) and tokens[i + 2][2] in given and not (i + 3 < n and joined(i + 2, False) and self.surname(tokens[i + 3][2])):
-                last = i + 2
-            if not self._place(tokens, last, n, joined):
-                return last
+        free = 0  # words before this one belong to a name
+        for i in [i for i, t in enumerate(tokens) if t[0] in given]:
+            if i < free:
+                continue
+            for first, last in ((i - 1, self._last_first(folded, tokens, i, free)), (i, self._first_last(folded, tokens, i))):
+                if last:
+                    yield tokens[first].start(), tokens[last].end()
+                    free = last + 1
+                    break
+
+    @staticmethod
+    def _joined(folded: str, tokens: list[re.Match], i: int, comma: bool = False) -> bool:
+        """Whether only white space, or a comma and white space, lies between words i and i + 1."""
+        if not 0 <= i < len(tokens) - 1:
+            return False
+        gap = folded[tokens[i].end() : tokens[i + 1].start()]
+        return gap.count("\n") < 2 and len(gap) <= 4 and (gap[0] == "," and gap[1:].isspace() if comma else gap.isspace())
+
+    def _first_last(self, folded: str, tokens: list[re.Match], i: int) -> int:
+        """Index of the surname after one or two given names from word ``i`` on, or 0."""
+        two = self._joined(folded, tokens, i) and tokens[i + 1][0] in self.given and self._joined(folded, tokens, i + 1)
+        for k in (2, 1) if two else (1,):
+            if self._joined(folded, tokens, i + k - 1):
+                last = tokens[i + k][0]
+                if last not in NOT_PERSONS and self.surname(last) * self.given[tokens[i][0]] >= MENTION_SHARE and not self._place(folded, tokens, i + k):
+                    return i + k
         return 0
 
+    def _last_first(self, folded: str, tokens: list[re.Match], i: int, free: int) -> int:
+        """Index of the last given name where word ``i`` follows a surname and a comma, or 0."""
+        if i - 1 < free or not self._joined(folded, tokens, i - 1, True) or self.surname(tokens[i - 1][0]) * self.given[tokens[i][0]] < MENTION_SHARE:
+            return 0
+        last = i
+        if self._joined(folded, tokens, i) and tokens[i + 1][0] in self.given and not (self._joined(folded, tokens, i + 1) and self.surname(tokens[i + 2][0])):
+            last = i + 1
+        return 0 if self._place(folded, tokens, last) else last
+
     @staticmethod
-    def _place(tokens, last, n, joined) -> bool:
-        return last + 1 < n and joined(last, False) and tokens[last + 1][2] in NOT_PERSONS
+    def _place(folded: str, tokens: list[re.Match], last: int) -> bool:
+        """Whether the next word makes it the name of a place, body, road or building."""
+        return NameFinder._joined(folded, tokens, last) and tokens[last + 1][0] in NOT_PERSONS
 
 
 def mentions(text: str, finder: NameFinder) -> list[tuple[int, int, str]]:
