@@ -13,19 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of one range of the order, about.
-ROWS_PER_RANGE = 100_000
+#: Rows of one range of the order, about, while there are at most so many ranges.
+ROWS_PER_RANGE, MOST_RANGES = 100_000, 1024
 
 
 def _range_of(df: DataFrame, key: str) -> Column:
-    """A column that numbers ranges of ``key``, rising with it."""
-    n = df.count()
-    parts = max(4, n // ROWS_PER_RANGE)
-    cuts = sorted(set(df.select(F.col(key).cast("double").alias(key)).approxQuantile(key, [i / parts for i in range(1, parts)], 0.1 / parts))) if n else []
+    """A column that numbers ranges of ``key``, rising with it. One pass over the key finds how many and where."""
+    value = F.col(key).cast("double")
+    n, found = df.agg(F.count(F.lit(1)), F.percentile_approx(value, [i / MOST_RANGES for i in range(1, MOST_RANGES)], 4 * MOST_RANGES)).first()
+    parts = min(MOST_RANGES, max(4, n // ROWS_PER_RANGE))
+    cuts = sorted({found[i * MOST_RANGES // parts - 1] for i in range(1, parts)}) if found else []
     if not cuts:
         return F.lit(0)
     # a balanced tree of comparisons: log2(parts) of them for each row
-    value = F.col(key).cast("double")
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:

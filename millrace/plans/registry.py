@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import identity, text
 from millrace.operators import labels, metrics, mixing, order, packing, partition
+from millrace.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -264,8 +265,9 @@ def _decided(s: SparkSession, d: str) -> DataFrame:
     joined = _joined(s, d).drop("text", "predicted_label_json")
     again = joined.groupBy("source_id", "ordinal").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("source_id").alias("s2"), F.col("ordinal").alias("o2"))
     once = joined.join(again, (F.col("source_id") == F.col("s2")) & (F.col("ordinal") == F.col("o2")), "left_anti").filter(F.col("violation").isNull())
+    once = materialize(once.select("source_id", "plan_idx", "ordinal", "content_hash", "predicted_route", "input_truncated"), "joined")
     in_turn = order.round_robin(once, "plan_idx", ["ordinal"])
-    return labels.decide(in_turn.drop("split"), ["pos"], gated=_GATED, fraction=FRACTION, seed=SEED)
+    return labels.decide(in_turn, ["pos"], gated=_GATED, fraction=FRACTION, seed=SEED)
 
 
 @query("route_decisions", f"WITH {_DECIDED} SELECT source_id, ordinal, pos, route, decision, split FROM decided")
@@ -564,5 +566,6 @@ def flagship(s: SparkSession, d: str) -> DataFrame:
     first = labels.first_copies(docs, "content_hash", ["doc_id"], F.lit(True)).filter("is_first").filter(_split(F.col("content_hash")) == "train")
     listed = F.array(*map(F.lit, MIX))
     streams = first.filter(F.col("lang").isin(list(MIX))).withColumn("stream", F.array_position(listed, F.col("lang")) - 1)
-    mixed = _mixed(streams.select("doc_id", "source", "stream", "n"))
+    # cut here: the steps below pass over the stream several times
+    mixed = _mixed(materialize(streams.select("doc_id", "source", "stream", "n"), "streams"))
     return packing.source_tokens(packing.slices(packing.placed(mixed, F.col("n"), ["pos"])), "source")
