@@ -27,12 +27,16 @@ def split_as_read(c: Column) -> Column:
 
 
 def texts_of(upstream: DataFrame, hashes: DataFrame) -> DataFrame:
-    """``hashes`` (hash in hex, and flags) with the text of each, one row per hash that has a text."""
-    named = upstream.filter(F.col("text").isNotNull()).select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_h"), "text")
+    """``hashes`` (hash in hex, and flags; distinct) with the text of each, one row per hash that has a text.
+
+    Copies are merged before they are shuffled, so a text that holds a third
+    of all rows comes as one row of each task.
+    """
+    hashed = upstream.filter(F.col("text").isNotNull()).select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_h"), "text")
+    named = hashed.groupBy("_h").agg(F.first("text").alias("text"))
     wanted = hashes.withColumn("_w", F.unhex("hash")).filter(F.col("_w").isNotNull())
     flags = [c for c in hashes.columns if c != "hash"]
-    joined = named.join(wanted.hint("shuffle_hash"), F.col("_h") == F.col("_w")).select("_h", "text", *flags)
-    return joined.groupBy("_h").agg(F.first("text").alias("text"), *[F.first(c).alias(c) for c in flags]).withColumnRenamed("_h", "hash")
+    return named.join(wanted, F.col("_h") == F.col("_w")).select(F.col("_h").alias("hash"), "text", *flags)
 
 
 def similar(pairs: DataFrame, least: float) -> DataFrame:
