@@ -105,25 +105,28 @@ _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
 _LOCAL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?"
 _BRACKETED_DOT = r"\s*[\[({]\s*(?:dot|nokta|\.)\s*[\])}]\s*"
 _DOT = rf"(?:\.|{_BRACKETED_DOT}|\s(?:dot|nokta)\s)"
-_AT = r"(?:\s?@\s?|\s*[\[({]\s*(?:at|et|a|@)\s*[\])}]\s*|\s(?:at|et)\s)"
+_AT = r"(?:\s{0,2}@\s{0,2}|\s*[\[({]\s*(?:at|et|a|@)\s*[\])}]\s*|\s(?:at|et)\s)"
 EMAIL = re.compile(rf"(?<![A-Za-z0-9._%+-]){_LOCAL}(?P<at>{_AT})(?P<domain>{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}(?P<last>[A-Za-z]{{2,}}))(?![A-Za-z0-9])", re.I)
 #: No address with a spelled-out sign lacks this.
 _SPELLED = re.compile(r"nokta|\bdot\b|[\[({]\s*(?:at|et|a)\s*[\])}]", re.I)
 #: Endings of file names (fixed values).
 FILE_ENDINGS = frozenset("png jpg jpeg gif webp svg bmp tif tiff ico pdf css js json csv txt py html htm xml zip gz mp3 mp4 avi mov doc docx xls xlsx ppt pptx".split())
 
-_S = r"[\s./-]?"
+_SEP = r"(?:[^\S\n]{1,2}|\n|[./‐–-])"
+_S = f"{_SEP}?"
 PHONE = re.compile(
     rf"(?<![\dA-Za-z+])(?<!\d[.,/-])(?:"
-    rf"(?:(?:\+|00)90{_S}|0{_S})?(?:\([2-58]\d\d\)|[2-58]\d\d){_S}\d{{3}}{_S}\d\d{_S}\d\d"
+    rf"(?:(?:(?:\+|00)90{_S}|0{_S})(?:\([2-58]\d\d\)|[2-58]\d\d){_S}|\([2-58]\d\d\){_S}|[2-58]\d\d{_SEP})\d{{3}}{_S}\d\d{_S}\d\d|5\d{{9}}"
     rf"|(?:(?:\+|00)44{_S}(?:\(0\){_S})?|0)(?:7\d{{3}}{_S}\d{{3}}{_S}\d{{3}}|20{_S}\d{{4}}{_S}\d{{4}}|1\d\d{_S}\d{{3}}{_S}\d{{4}}|1\d{{3}}{_S}\d{{3}}{_S}\d{{3}})"
-    rf"|(?:\+?1{_S})?(?:\([2-9]\d\d\)|[2-9]\d\d)[\s./-]\d{{3}}[\s.-]\d{{4}}|\(020\)\s?\d{{4}}\s?\d{{4}}"
+    rf"|(?:\+?1{_S})?(?:\([2-9]\d\d\)|[2-9]\d\d)(?:\s{{1,2}}|[./‐–-])\d{{3}}(?:\s{{1,2}}|[.‐–-])\d{{4}}|\(020\)\s?\d{{4}}\s?\d{{4}}"
     rf")(?!\d)"
 )
-TR_ID = re.compile(r"(?<![\dA-Za-z])(?<!\d[.,/-])[1-9](?:\d{10}|\d\d([ .-])\d{3}\1\d{3}\1\d\d|\d{4}[ .-]\d{6}|\d\d([ .-])\d{4}\2\d{4})(?![\dA-Za-z])(?![.,/-]\d)")
-UK_ID = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}([ -]?)\d\d\1\d\d\1\d\d\1[A-Da-d](?![A-Za-z0-9])")
+TR_ID = re.compile(r"(?<![\dA-Za-z])(?<!\d[.,/-])[1-9](?:\d{10}|\d\d(\s{1,2}|[.‐–-])\d{3}\1\d{3}\1\d\d|\d{4}(?:\s{1,2}|[.‐–-])\d{6}|\d\d(\s{1,2}|[.‐–-])\d{4}\2\d{4})(?![\dA-Za-z])(?![.,/-]\d)")
+UK_ID = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}(\s{1,2}|[‐–-]|)\d\d\1\d\d\1\d\d\1[A-Da-d](?![A-Za-z0-9])")
 #: Words that announce numbers of other kinds (fixed values).
 OTHER_NUMBER = re.compile(r"(?:fatura|takip|siparis|sipariş|kargo|hesap|iban|isbn|barkod|seri|stok|sicil|dosya|order|invoice|tracking|account|parcel|serial|book)\b[^\n.;|]{0,18}$", re.I)
+#: Words that announce phone numbers, which may then stand without separators (fixed values).
+PHONE_WORD = re.compile(r"\b(?:tel|telefon|gsm|cep|faks|fax|phone|mobile|call|whatsapp|ararsaniz|arayin|hatti|line is|numara)\b[^\n;|]{0,14}$", re.I)
 #: Words that announce identity numbers (fixed values).
 ID_WORD = re.compile(r"\b(?:tc|t\.c\.|tckn|kimlik|ni no|insurance|nino)\b[^\n;|]{0,14}$", re.I)
 
@@ -131,12 +134,12 @@ _WORD = r"[A-Za-z]{2,}"
 _CAP = r"(?-i:[A-Z][A-Za-z]+)"
 _NUMBER = r"(?:\s*,?\s*(?:no|numara)\s*[.:]?\s*:?\s*\d+[A-Za-z]?(?:\s?/\s?\d+[A-Za-z]?)?|\s+\d+[A-Za-z]?(?:/\d+[A-Za-z]?)?)(?![\d])"
 _FLAT = r"(?:\s*,?\s*(?:daire|kat|d|k|ic kapi)\s*(?:no)?\s*[.:]\s*\d+)*"
-_TOWN = rf"(?:,?[ \t]+\d{{5}}[ \t]+{_CAP}(?:[ \t]*/[ \t]*{_CAP})?|,[ \t]*{_CAP}(?:[ \t]*/[ \t]*{_CAP})?|[ \t]+(?-i:[A-Z][a-z]+)(?:[ \t]*/[ \t]*{_CAP})?)?"
-_QUARTER = rf"{_WORD}\s(?:mahallesi|mah\b\.?|mh\b\.?)"
-_STREET = rf"(?:{_WORD}|\d+\.)\s(?:sokagi|sokak|sok\b\.?|sk\b\.?|caddesi|cadde|cad\b\.?|cd\b\.?|bulvari|bulvar|bulv\b\.?|blv\b\.?)"
+_TOWN = rf"(?:,?\s{{1,3}}\d{{5}}\s{{1,2}}{_CAP}(?:[ \t]*/[ \t]*{_CAP})?|,\s{{0,2}}{_CAP}(?:[ \t]*/[ \t]*{_CAP})?|[ \t]+(?-i:[A-Z][a-z]+)(?:[ \t]*/[ \t]*{_CAP})?)?"
+_QUARTER = rf"{_WORD}\s{{1,2}}(?:mahallesi|mah\b\.?|mh\b\.?)"
+_STREET = rf"(?:{_WORD}|\d+\.)\s{{1,2}}(?:sokagi|sokak|sok\b\.?|sk\b\.?|caddesi|cadde|cad\b\.?|cd\b\.?|bulvari|bulvar|bulv\b\.?|blv\b\.?)"
 TR_ADDRESS = re.compile(rf"\b(?:{_QUARTER},?\s+(?:{_STREET},?)?|{_STREET},?){_NUMBER}{_FLAT}{_TOWN}", re.I)
 _ROAD = r"(?:Street|Road|Lane|Avenue|Close|Drive|Way|Court|Place|Terrace|Square|Crescent|Gardens|Row|St\b\.?|Rd\b\.?|Ave\b\.?|Ln\b\.?)"
-UK_ADDRESS = re.compile(rf"\b(?:(?:Flat|Apartment|Apt\.?|Unit)\s\d+[A-Za-z]?,?\s)?\d+[A-Za-z]?\s(?:{_CAP}\s){{1,2}}{_ROAD}(?:,\s(?:Flat|Apartment|Apt\.?|Unit)\s\d+[A-Za-z]?)?(?:,\s{_CAP}(?:\s(?-i:[A-Z]{{1,2}}\d[A-Z\d]?\s?\d[A-Z]{{2}}))?|,\s(?-i:[A-Z]{{1,2}}\d[A-Z\d]?\s?\d[A-Z]{{2}}))?")
+UK_ADDRESS = re.compile(rf"\b(?:(?:Flat|Apartment|Apt\.?|Unit)\s{{1,2}}\d+[A-Za-z]?,?\s{{1,2}})?\d+[A-Za-z]?\s{{1,2}}(?:{_CAP}\s{{1,2}}){{1,2}}{_ROAD}(?:,\s{{1,2}}(?:Flat|Apartment|Apt\.?|Unit)\s{{1,2}}\d+[A-Za-z]?)?(?:,\s{{1,2}}{_CAP}(?:\s(?-i:[A-Z]{{1,2}}\d[A-Z\d]?\s?\d[A-Z]{{2}}))?|,\s(?-i:[A-Z]{{1,2}}\d[A-Z\d]?\s?\d[A-Z]{{2}}))?")
 
 
 def tr_id_holds(digits: str) -> bool:
@@ -170,7 +173,7 @@ def formed(folded: str) -> list[tuple[int, int, str]]:
             add(m.start(), m.end(), "id_number")
     for m in PHONE.finditer(folded):
         digits = re.sub(r"\D", "", m[0])
-        if len(digits) == 10 and m[0].isdigit() and digits[0] != "5":
+        if len(digits) == 10 and m[0].isdigit() and not PHONE_WORD.search(folded, max(0, m.start() - 40), m.start()):
             continue
         if OTHER_NUMBER.search(folded, max(0, m.start() - 40), m.start()) and not re.search(r"hatt|line", folded[max(0, m.start() - 12) : m.start()], re.I):
             continue
@@ -196,8 +199,8 @@ NOT_PERSONS = frozenset(
     " street road lane avenue close drive way court place terrace square hall society council institute bridge park school college university hospital house committee association club museum library church station board editor team office department madam".split()
 )
 SEED = re.compile(_BEFORE, re.I)
-SEED_A = re.compile(rf"(?P<run>{_NAME_WORD}\s{_NAME_WORD}(?:[ \t]{_NAME_WORD})?(?:-{_NAME_WORD})?)", re.I)
-SEED_B = re.compile(rf"(?P<last>{_NAME_WORD}(?:-{_NAME_WORD})?),\s(?P<first>{_NAME_WORD})", re.I)
+SEED_A = re.compile(rf"(?P<run>{_NAME_WORD}\s{{1,2}}{_NAME_WORD}(?:[ \t]{{1,2}}{_NAME_WORD})?(?:-{_NAME_WORD})?)", re.I)
+SEED_B = re.compile(rf"(?P<last>{_NAME_WORD}(?:-{_NAME_WORD})?),\s{{1,2}}(?P<first>{_NAME_WORD})", re.I)
 CAPITALS = re.compile(r"(?=(?<![A-Za-z])([A-Z][A-Za-z]+)\s([A-Z][A-Za-z]+)(?![A-Za-z]))")
 TOKEN = re.compile(r"[A-Za-z]{2,}")
 
@@ -223,7 +226,7 @@ def name_pairs(folded: str) -> Iterator[tuple[str, str, int]]:
             yield m["first"].lower(), m["last"].lower().split("-")[0], 1
             continue
         run = m["run"]
-        words = re.split(r"\s", run)
+        words = run.split()
         # the run may reach past the name: a third word counts if it is written like the second
         if len(words) == 3 and (words[2][:1].isupper() or words[1][:1].islower() and words[0][:1].islower()):
             yield words[1].lower(), words[2].lower().split("-")[0], 1
@@ -338,13 +341,14 @@ class NameFinder:
         return m.start("last"), m.end("first")
 
     def _announced_a(self, m: re.Match) -> tuple[int, int] | None:
-        words = re.split(r"\s", m["run"])
+        places = list(re.finditer(r"\S+", m["run"]))
+        words = [w[0] for w in places]
         if len(words) == 3 and (not words[2][0].isupper() or self.surname(words[1].lower()) and not self.surname(words[2].lower())):
             words.pop()
         if not all(w[0].isupper() for w in words) or {w.lower() for w in words} & NOT_PERSONS or words[-1].lower() in self.given:
             return None
         start = m.start("run")
-        return start, start + len("".join(words)) + len(words) - 1
+        return start, start + places[len(words) - 1].end()
 
     def _disclosed(self, folded: str) -> Iterator[tuple[int, int]]:
         tokens = list(self.RUN.finditer(folded.lower()))
