@@ -567,5 +567,5 @@ def flagship(s: SparkSession, d: str) -> DataFrame:
     listed = F.array(*map(F.lit, MIX))
     streams = first.filter(F.col("lang").isin(list(MIX))).withColumn("stream", F.array_position(listed, F.col("lang")) - 1)
     # cut here: the steps below pass over the stream several times
-    mixed = _mixed(materialize(streams.select("doc_id", "source", "stream", "n"), "streams"))
+    mixed = materialize(_mixed(materialize(streams.select("doc_id", "source", "stream", "n"), "streams")).select("pos", "source", "n"), "mixed")
     return packing.source_tokens(packing.slices(packing.placed(mixed, F.col("n"), ["pos"])), "source")

@@ -21,6 +21,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` itself, or its rows dealt over all cores where they come from fewer files than that.
+
+    For work in Python on small tables: one file may be one task. A large table
+    has more files than cores and is read as it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df._jdf.inputFiles()
+    return df.repartition(cores) if 0 < len(files) < cores else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table into the shared folder and read it back.
 
