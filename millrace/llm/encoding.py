@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import load_bpe, tokenizer_path
+from millrace.storage import spread
 
 #: UTF-8 bytes and rows of the documents in one block, on average.
 BLOCK_BYTES, BLOCK_ROWS = 2_000_000, 5_000
@@ -102,7 +103,7 @@ def decode_corpus(encoded: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def corpus_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Problem 6 over the whole of documents."""
-    return encode_corpus(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return encode_corpus(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.words import hash_words, slices, word_lists
+from millrace.storage import spread
 
 LEAST_WORDS = 10
 #: Words of the prompts that one table holds at most, besides those of its last prompt.
@@ -161,7 +162,7 @@ def _tiler(spark: SparkSession, prompts: list[list[str]], names: list[list[str]]
 
 def leaked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Problem 7 over the whole of documents and contract_cases_v1, with coverage."""
-    return tiles_of(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/contract_cases_v1.parquet"))
+    return tiles_of(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), spark.read.parquet(f"{sf_dir}/contract_cases_v1.parquet"))
 
 
 def leaked_found(spark: SparkSession, sf_dir: str) -> DataFrame:

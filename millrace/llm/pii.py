@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.storage import materialize
+from millrace.storage import materialize, spread
 
 MOST_TERMS = 100_000
 #: Share of a word's occurrences that stand at a person's place, for a given name (it may be a common word too), for a surname, and the product of both for a mention.
@@ -453,8 +453,8 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 def personal_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Problem 8 over the whole of documents."""
-    return find_personal(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return find_personal(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
 def redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redact(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return redact(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))

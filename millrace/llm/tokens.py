@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.storage import spread
+
 NO_LABEL, UNKNOWN, NO_PLAN = "(no label)", "(unknown)", "(no plan entry)"
 
 #: GPT-2 style pre-token pattern of the byte-level vocabularies (fixed value).
@@ -97,7 +99,7 @@ def label_fields(labels: DataFrame) -> DataFrame:
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Problem 5: each row of upstream_identity_v1 with its slice and number of tokens."""
-    upstream = spark.read.parquet(f"{sf_dir}/upstream_identity_v1.parquet").select("source", "ordinal", "text")
+    upstream = spread(spark.read.parquet(f"{sf_dir}/upstream_identity_v1.parquet").select("source", "ordinal", "text"))
     known = with_plan_id(upstream, plan_ids(spark, sf_dir)).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
     counted = count_tokens(known, "text", ["id", "ordinal", "n_bytes"])
     labels = label_fields(spark.read.parquet(f"{sf_dir}/cpt_labels.parquet"))
