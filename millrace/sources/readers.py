@@ -133,3 +133,25 @@ def read_scored_jsonl(spark: SparkSession, root: str, score: str, least: float,
     rows = read.select(F.col("_metadata.file_path").alias("file"), v.alias("v"), member.isNull().alias("absent"), F.try_variant_get(v, f"$.{score}", "string").alias("score"))
     kept = rows.filter(F.col("v").isNotNull() & score_at_least(F.col("score"), least, F.col("absent")))
     return kept.select("file", F.try_variant_get("v", f"$.{field}", "string").alias("text")).filter(~is_blank(F.col("text")))
+
+
+def read_ordered_jsonl(spark: SparkSession, root: str, field: str = "text", score: str = "score") -> DataFrame:
+    """(key, text, score) of all JSON-lines files below ``root``, with ``key`` in the order of paths and lines.
+
+    A file is read in one task, as its lines have no other order; unreadable
+    lines are passed over. An absent score reads as 0.0, one that is null as null.
+    """
+    from pyspark.sql import Window
+
+    # wholetext is a parameter of text(), so options for the folder come first
+    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl*").text(root, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    # one row per file
+    files = whole.select("file").distinct().select(F.col("file").alias("f"), (F.row_number().over(Window.orderBy("file")) - 1).cast("bigint").alias("nth"))
+    rows = whole.select("file", F.posexplode(F.split("value", "\n")).alias("line", "value")).join(F.broadcast(files), F.col("file") == F.col("f"))
+    parsed = F.try_parse_json("value")
+    absent = F.try_variant_get(parsed, f"$.{score}", "variant").isNull()
+    return rows.filter(parsed.isNotNull()).select(
+        (F.shiftleft(F.col("nth"), 40) + F.col("line")).alias("key"),
+        F.try_variant_get(parsed, f"$.{field}", "string").alias("text"),
+        F.when(absent, F.lit("0.0")).otherwise(F.try_variant_get(parsed, f"$.{score}", "string")).alias("score"),
+    )
