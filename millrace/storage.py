@@ -42,7 +42,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._millrace_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Remove the table behind a materialised DataFrame that nothing reads any more."""
+    path = getattr(df, "_millrace_path", None)
+    if path:
+        _remove(df.sparkSession, path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

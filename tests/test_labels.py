@@ -26,8 +26,8 @@ def world(spark, rows):
 
 
 ROWS = [
-    ("one", 0, "merhaba", "PREMIUM", False), ("one", 2, "onar", "MODEL_REPAIR", False), ("one", 5, "tekrar", "KEEP", False),
-    ("two", 0, "merhaba", "KEEP", False), ("two", 1, "incele", "REVIEW", False), ("two", 2, "sil", "DROP", False), ("two", 9, "kesik", "KEEP", True),
+    ("one", 0, "selam", "PREMIUM", False), ("one", 2, "eksik", "MODEL_REPAIR", False), ("one", 5, "yine", "KEEP", False),
+    ("two", 0, "selam", "KEEP", False), ("two", 1, "bak", "REVIEW", False), ("two", 2, "bozuk", "DROP", False), ("two", 9, "yarim", "KEEP", True),
 ]
 
 

@@ -13,15 +13,15 @@ def pack(spark, docs, length, budget=None):
 
 
 def test_two_sources_and_padding(spark):
-    got = pack(spark, [("tr", [65536]), ("en", [97]), ("tr", [98])], 4)
-    assert [t for r in got for t in r.tokens] == [65536, 2, 97, 2, 98, 2, 2, 2]
-    assert [s for r in got for s in r.token_sources] == ["tr", "tr", "en", "en", "tr", "tr", None, None]
-    assert [r.valid_length for r in got] == [4, 2] and got[0].source == "tr"
+    got = pack(spark, [("x", [70_000, 8]), ("y", [9]), ("x", [10])], 5)
+    assert [t for r in got for t in r.tokens] == [70_000, 8, 2, 9, 2, 10, 2, 2, 2, 2]
+    assert [s for r in got for s in r.token_sources] == ["x", "x", "x", "y", "y", "x", "x", None, None, None]
+    assert [r.valid_length for r in got] == [5, 2] and got[0].source == "x"
 
 
 def test_budget_cuts_inside_a_document(spark):
-    got = pack(spark, [(None, list(b"abc")), (None, list(b"defghij")), (None, list(b"unused"))], 4, budget=5)
-    assert [t for r in got for t in r.tokens] == [97, 98, 99, 2, 100, 2, 2, 2] and [r.valid_length for r in got] == [4, 1]
+    got = pack(spark, [(None, [11, 12]), (None, [13, 14, 15, 16]), (None, [17])], 3, budget=4)
+    assert [t for r in got for t in r.tokens] == [11, 12, 2, 13, 2, 2] and [r.valid_length for r in got] == [3, 1]
     assert {r.source for r in got} == {"unknown"}
 
 
