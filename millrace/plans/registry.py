@@ -1,7 +1,8 @@
 """Queries of the corpus-preparation operators, each with its SQL where SQL can express it.
 
 Every query runs over its whole tables. A document without text is not part of
-a stream of texts.
+a stream of texts. Where an operator passes over a stream several times, what it
+needs of each text (its length or hash) is taken once and kept.
 """
 
 from __future__ import annotations
@@ -153,7 +154,7 @@ def _(s, d):
 
 
 def _hashed(s: SparkSession, d: str) -> DataFrame:
-    return texts(s, d).select("doc_id", "source", identity.document_hash(F.col("text")).alias("content_hash"))
+    return materialize(texts(s, d).select("doc_id", "source", identity.document_hash(F.col("text")).alias("content_hash")), "hashed")
 
 
 @query("exact_dedup", f"SELECT doc_id, sha256(text) AS content_hash, doc_id = min(doc_id) OVER (PARTITION BY sha256(text)) AS is_first FROM {T}")
@@ -262,10 +263,9 @@ _DECIDED = f"""{_JOINED}, once AS (SELECT *, count(*) OVER (PARTITION BY source_
 
 def _decided(s: SparkSession, d: str) -> DataFrame:
     """Decisions over the labelled rows that pass the identity check and have one label, sources in turn."""
-    joined = _joined(s, d).drop("text", "predicted_label_json")
+    joined = materialize(_joined(s, d).select("source_id", "plan_idx", "ordinal", "content_hash", "predicted_route", "input_truncated", "violation"), "joined")
     again = joined.groupBy("source_id", "ordinal").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("source_id").alias("s2"), F.col("ordinal").alias("o2"))
     once = joined.join(again, (F.col("source_id") == F.col("s2")) & (F.col("ordinal") == F.col("o2")), "left_anti").filter(F.col("violation").isNull())
-    once = materialize(once.select("source_id", "plan_idx", "ordinal", "content_hash", "predicted_route", "input_truncated"), "joined")
     in_turn = order.round_robin(once, "plan_idx", ["ordinal"])
     return labels.decide(in_turn, ["pos"], gated=_GATED, fraction=FRACTION, seed=SEED)
 
@@ -320,7 +320,7 @@ def _(s, d):
 def _sources(s: SparkSession, d: str) -> DataFrame:
     """Documents with the number of their source in the plan."""
     plan = table(s, d, PLAN).select(F.col("id").alias("source"), "plan_idx")
-    return texts(s, d).join(F.broadcast(plan), "source").select("doc_id", "plan_idx", "text")
+    return materialize(texts(s, d).join(F.broadcast(plan), "source").select("doc_id", "plan_idx"), "sources")
 
 
 _SOURCES = f"src AS (SELECT doc_id, plan_idx, text FROM {T} t JOIN {PLAN} p ON t.source = p.id)"
@@ -358,19 +358,19 @@ def _(s, d):
 
 @query("byte_budget", f"SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes FROM {T} QUALIFY sum(strlen(text)) OVER (ORDER BY doc_id) <= {BYTE_BUDGET}")
 def _(s, d):
-    rows = texts(s, d).select("doc_id", text.n_bytes(F.col("text")).alias("n_bytes"))
+    rows = materialize(texts(s, d).select("doc_id", text.n_bytes(F.col("text")).alias("n_bytes")), "sizes")
     return order.byte_budget(rows, F.col("n_bytes"), ["doc_id"], BYTE_BUDGET)
 
 
 @query("prefix_sum", f"SELECT doc_id, source, CAST(coalesce(sum(strlen(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM {T}")
 def _(s, d):
-    rows = texts(s, d).select("doc_id", "source", text.n_bytes(F.col("text")).alias("n_bytes"))
+    rows = materialize(texts(s, d).select("doc_id", "source", text.n_bytes(F.col("text")).alias("n_bytes")), "sizes")
     return order.prefix_sum(rows, F.col("n_bytes"), ["doc_id"], "before", by=["source"]).select("doc_id", "source", "before")
 
 
 @query("resume_skip", f"SELECT doc_id, pos FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM {T}) WHERE pos >= 300")
 def _(s, d):
-    return order.skip_first(order.numbered(texts(s, d).select("doc_id"), ["doc_id"]), 300)
+    return order.skip_first(order.numbered(materialize(texts(s, d).select("doc_id"), "ids"), ["doc_id"]), 300)
 
 
 # Mixing
@@ -378,7 +378,8 @@ def _(s, d):
 
 def _streams(s: SparkSession, d: str) -> DataFrame:
     listed = list(MIX)
-    return texts(s, d).filter(F.col("lang").isin(listed)).select("doc_id", "source", "text", (F.array_position(F.array(*map(F.lit, listed)), F.col("lang")) - 1).alias("stream"), text.n_chars(F.col("text")).alias("n"))
+    stream = (F.array_position(F.array(*map(F.lit, listed)), F.col("lang")) - 1).alias("stream")
+    return materialize(texts(s, d).filter(F.col("lang").isin(listed)).select("doc_id", "source", stream, text.n_chars(F.col("text")).alias("n")), "streams")
 
 
 def _sql_mix(rows: str) -> str:
@@ -405,7 +406,7 @@ def _(s, d):
 
 @query("bernoulli_mix")
 def _(s, d):
-    rows = texts(s, d).select("doc_id", "lang")
+    rows = materialize(texts(s, d).select("doc_id", "lang"), "streams")
     return mixing.bernoulli_mix(rows.filter("lang = 'tr'"), rows.filter("lang <> 'tr'"), ["doc_id"]).select("doc_id", "side", "pos")
 
 
@@ -413,7 +414,7 @@ def _(s, d):
 
 
 def _sized(s: SparkSession, d: str) -> DataFrame:
-    return texts(s, d).select("doc_id", "source", text.n_chars(F.col("text")).alias("n"))
+    return materialize(texts(s, d).select("doc_id", "source", text.n_chars(F.col("text")).alias("n")), "sizes")
 
 
 def _sql_pack(rows: str, key: str, budget: int | None = None) -> str:
@@ -505,18 +506,25 @@ def _(s, d):
 
 def _scored(s: SparkSession, d: str) -> DataFrame:
     """Answers made from the cases: right, right in prose, without an object, and with another value."""
-    kind = F.pmod(F.crc32("id"), F.lit(4))
+    kind = F.ascii(F.right("id", F.lit(1))) % 4
     answer = F.when(kind == 0, F.col("expected")).when(kind == 1, F.concat(F.lit("Yanit: "), F.col("expected"))).when(kind == 2, F.lit("?")).otherwise(F.lit('{"cevap": 0}'))
     rows = table(s, d, "contract_cases_v1").select("id", "category", answer.alias("response"), "expected")
     return metrics.score_answers(rows, "response", "expected").drop("response", "expected")
 
 
-@query("contract_scores")
+_ONE_NUMBER = "(json_keys(e) = ['cevap'] AND json_type(e, '$.cevap') IN ('UBIGINT', 'BIGINT'))"
+_SCORED = f"""cases AS (SELECT id, category, ascii(right(id, 1)) % 4 AS kind, expected::JSON AS e FROM contract_cases_v1),
+  flags AS (SELECT id, category, kind IN (0, 3) AS json_parse_valid, CASE kind WHEN 0 THEN true WHEN 3 THEN {_ONE_NUMBER} ELSE false END AS schema_valid,
+    CASE WHEN kind IN (0, 1) THEN true WHEN kind = 3 THEN {_ONE_NUMBER} AND e->>'$.cevap' = '0' END AS task_correct FROM cases),
+  scored AS (SELECT id, category, task_correct, json_parse_valid, schema_valid, coalesce(schema_valid AND task_correct, false) AS contract_and_task_correct FROM flags)"""
+
+
+@query("contract_scores", f"WITH {_SCORED} SELECT * FROM scored")
 def _(s, d):
     return _scored(s, d)
 
 
-@query("contract_summary")
+@query("contract_summary", f"WITH {_SCORED} SELECT " + ", ".join(f"count(*) FILTER ({f}) AS {f}" for f in metrics.FLAGS) + ", count(*) FILTER (task_correct IS NULL) AS semantic_unscored, count(*) AS total FROM scored")
 def _(s, d):
     return metrics.score_summary(_scored(s, d))
 
@@ -538,15 +546,31 @@ def _shards(s: SparkSession, d: str) -> list[tuple[str, int]]:
 
 
 def _dealt(s: SparkSession, groups: list[list[tuple[str, int]]]) -> DataFrame:
-    return s.createDataFrame([(g + 1, p, n) for g, files in enumerate(groups) for p, n in files], "phase int, path string, size bigint")
+    return s.createDataFrame([(g + 1, p, n) for g, files in enumerate(groups) for p, n in files], "phase bigint, path string, size bigint")
+
+
+_SHARDS = f"sh AS (SELECT source AS path, sum(strlen(text))::BIGINT AS size FROM {T} WHERE source IS NOT NULL GROUP BY source)"
 
 
-@query("shards_contiguous")
+@query(
+    "shards_contiguous",
+    f"""WITH RECURSIVE {_SHARDS}, f AS (SELECT *, row_number() OVER (ORDER BY path) AS i FROM sh), t AS (SELECT sum(size)::BIGINT AS whole, count(*) AS n FROM f),
+    r AS (SELECT 0::BIGINT AS i, 1::BIGINT AS g, 0::BIGINT AS held, 1::BIGINT AS mine UNION ALL
+      SELECT i, CASE WHEN shut THEN g + 1 ELSE g END, CASE WHEN shut THEN 0 ELSE h END, g FROM (
+        SELECT f.i, r.g, r.held + f.size AS h, r.g < 4 AND (n - f.i = 4 - r.g OR ((r.held + f.size) * 4 >= whole AND n - f.i >= 4 - r.g)) AS shut FROM r JOIN f ON f.i = r.i + 1, t))
+    SELECT r.mine AS phase, path, size FROM r JOIN f ON r.i = f.i""",
+)
 def _(s, d):
     return _dealt(s, partition.contiguous(_shards(s, d), 4))
 
 
-@query("shards_largest_first")
+@query(
+    "shards_largest_first",
+    f"""WITH RECURSIVE {_SHARDS}, f AS (SELECT *, row_number() OVER (ORDER BY size DESC, path) AS i FROM sh),
+    r AS (SELECT 0::BIGINT AS i, [0, 0, 0, 0]::BIGINT[] AS loads, NULL::BIGINT AS g UNION ALL
+      SELECT i, list_transform(loads, lambda x, j: CASE WHEN j = g THEN x + size ELSE x END), g FROM (SELECT f.i, f.size, r.loads, list_position(r.loads, list_min(r.loads))::BIGINT AS g FROM r JOIN f ON f.i = r.i + 1))
+    SELECT r.g AS phase, path, size FROM r JOIN f ON r.i = f.i""",
+)
 def _(s, d):
     return _dealt(s, partition.largest_first(_shards(s, d), 4))
 
@@ -562,7 +586,7 @@ def flagship(s: SparkSession, d: str) -> DataFrame:
 
     Only lengths go through the shuffles; texts are hashed and measured where they are read.
     """
-    docs = texts(s, d).select("doc_id", "source", "lang", identity.document_hash(F.col("text")).alias("content_hash"), text.n_chars(F.col("text")).alias("n"))
+    docs = materialize(texts(s, d).select("doc_id", "source", "lang", identity.document_hash(F.col("text")).alias("content_hash"), text.n_chars(F.col("text")).alias("n")), "hashed")
     first = labels.first_copies(docs, "content_hash", ["doc_id"], F.lit(True)).filter("is_first").filter(_split(F.col("content_hash")) == "train")
     listed = F.array(*map(F.lit, MIX))
     streams = first.filter(F.col("lang").isin(list(MIX))).withColumn("stream", F.array_position(listed, F.col("lang")) - 1)
