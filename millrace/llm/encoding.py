@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import load_bpe, tokenizer_path
-from millrace.storage import spread
+from millrace.storage import materialize, spread
 
 #: UTF-8 bytes and rows of the documents in one block, on average.
 BLOCK_BYTES, BLOCK_ROWS = 2_000_000, 5_000
@@ -91,14 +91,40 @@ def pieces(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame([(i, b.hex()) for b, i in ranks.items()], "id int, piece string")
 
 
+def _lay_out_text(docs: pa.Table, table: pa.Table) -> pa.Table:
+    """Texts of the documents of one block, from the block's table of pieces."""
+    lists = docs.column("ids").combine_chunks()
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.flatten()
+    place = pc.index_in(flat, value_set=table.column("id").combine_chunks())
+    pieces = table.column("piece").combine_chunks().take(place) if len(flat) else pa.array([], pa.binary())
+    pieces = pc.fill_null(pieces, b"").cast(pa.large_binary())
+    at, data = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1), pieces.buffers()[2]
+    whole = memoryview(data) if data is not None else memoryview(b"")
+    ends = at[starts - starts[0]].tolist()
+    texts = [bytes(whole[x:y]).decode("utf-8", "replace") for x, y in zip(ends, ends[1:])]
+    return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array(texts, pa.string())})
+
+
 def decode_corpus(encoded: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(doc_id, text) by a join of ids with the vocabulary, whose size is that of the tokenizer."""
-    rows = encoded.groupBy("doc_id", "ids").agg(F.count(F.lit(1)).alias("n")).withColumn("h", F.xxhash64("ids"))
-    split = rows.select("doc_id", "h", "n", F.posexplode_outer("ids").alias("pos", "id"))
-    joined = split.join(F.broadcast(vocabulary), "id", "left")
-    whole = joined.groupBy("doc_id", "h", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("p"))
-    text = F.decode(F.unhex(F.array_join(F.transform("p", lambda x: x["piece"]), "")), "UTF-8").alias("text")
-    return whole.select("doc_id", text, F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).drop("copy")
+    """(doc_id, text) by a join of ids with the vocabulary (id, piece in hex), whose size is that of the tokenizer.
+
+    As in encoding, a block of documents asks once for each of its ids. Null
+    lists give the empty text, ids outside the vocabulary nothing, and bytes
+    that are no UTF-8 the replacement character.
+    """
+    docs = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids").cast("bigint")), F.lit(0))).first()
+    blocks = max(1, -(-size // BLOCK_BYTES), -(-n // BLOCK_ROWS))
+    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(blocks)).cast("bigint"))
+    asked = docs.select(F.col("block").alias("b"), F.explode("ids").alias("i")).distinct()
+    tables = asked.join(F.broadcast(vocabulary), F.col("i") == F.col("id")).select("b", "id", F.unhex("piece").alias("piece"))
+    id_type = encoded.schema["doc_id"].dataType.simpleString()
+
+    def lay_out(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _lay_out_text(left, right)
+
+    return docs.groupBy("block").cogroup(tables.groupBy("b")).applyInArrow(lay_out, f"doc_id {id_type}, text string")
 
 
 def corpus_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,4 +134,4 @@ def corpus_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded again."""
-    return decode_corpus(corpus_ids(spark, sf_dir), pieces(spark))
+    return decode_corpus(materialize(corpus_ids(spark, sf_dir), "ids"), pieces(spark))
