@@ -84,7 +84,7 @@ def raw_rows(upstream: DataFrame, plan: DataFrame) -> DataFrame:
     u = upstream.select(*[F.col(f"source.{c}").alias(c) for c in ("repo", "revision", "config", "split")], "ordinal", "text")
     same = [F.col(c) == F.col(f"p_{c}") for c in ("repo", "revision", "config", "split")]
     joined = u.join(F.broadcast(p), same[0] & same[1] & same[2] & same[3])
-    return joined.select("source_id", "plan_idx", "ordinal", "repo", "revision", "config", "split", "text").dropDuplicates(["source_id", "ordinal", "text"])
+    return joined.select("source_id", "plan_idx", "ordinal", "repo", "revision", "config", "split", "text").distinct()
 
 
 def join_labels(raw: DataFrame, labels: DataFrame) -> DataFrame:
@@ -133,10 +133,10 @@ def first_copies(df: DataFrame, key: str, order: list[str], eligible: Column, ou
     is no hot spot; rows meet their winner by a join on the key. ``order``
     must be unique.
     """
-    # one more column tells rows with equal keys and order apart from rows that are not eligible
-    winners = df.filter(eligible & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(*order)).alias("_first"))
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    winners = df.filter(eligible & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"))
     joined = df.join(winners, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn(out, F.coalesce(eligible, F.lit(False)) & F.coalesce(F.struct(*order) == F.col("_first"), F.lit(False))).drop("_key", "_first")
+    return joined.withColumn(out, F.coalesce(eligible, F.lit(False)) & F.coalesce(place == F.col("_first"), F.lit(False))).drop("_key", "_first")
 
 
 def decide(rows: DataFrame, order: list[str], accepted: Iterable[str] = CLEAN_ROUTES, gated: Iterable[str] = (), fraction: float = 0.01, seed: int = 42) -> DataFrame:

@@ -71,9 +71,6 @@ def appended_only(base: DataFrame, extended: DataFrame) -> DataFrame:
     b = base.select(F.col("token").alias("bt"), F.col("id").alias("bi"))
     lost = b.join(extended, (F.col("bt") == F.col("token")) & (F.col("bi") == F.col("id")), "left_anti").select(F.col("bt").alias("token"), F.col("bi").alias("id"), F.lit("lost_or_moved").alias("violation"))
     new = extended.join(b.select("bt"), F.col("token") == F.col("bt"), "left_anti")
-    n = base.agg(F.count(F.lit(1)).alias("n0"))
-    grown = extended.agg(F.count(F.lit(1)).alias("n1"))
-    # both counts are single rows
-    outside = new.join(F.broadcast(n)).join(F.broadcast(grown)).filter((F.col("id") < F.col("n0")) | (F.col("id") >= F.col("n1"))).select("token", "id", F.lit("outside_block").alias("violation"))
+    outside = new.filter((F.col("id") < base.count()) | (F.col("id") >= extended.count())).select("token", "id", F.lit("outside_block").alias("violation"))
     twice = extended.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.min("token").alias("token")).filter("c > 1").select("token", "id", F.lit("repeated_id").alias("violation"))
     return lost.unionByName(outside).unionByName(twice)
