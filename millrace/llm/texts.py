@@ -10,10 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import distinct, from_binary, jaccard, triples
-
-#: Pairs whose word triples are held at a time.
-PAIRS_AT_A_TIME = 2_000
+from millrace.llm.words import distinct, from_binary, jaccard, portions, triples
 
 
 def hash_as_read(c: Column) -> Column:
@@ -49,10 +46,7 @@ def similar(pairs: DataFrame, least: float) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
-            for at in range(0, max(whole.num_rows, 1), PAIRS_AT_A_TIME):
-                batch = whole.slice(at, PAIRS_AT_A_TIME)
-                if not batch.num_rows:
-                    continue
+            for batch in portions(whole, (2, 3)):
                 sets = [distinct(*triples(*from_binary(batch.column(k), np.uint32))) for k in (2, 3)]
                 s = jaccard(*sets)
                 keep = pa.array(s >= least)

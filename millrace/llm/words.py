@@ -8,13 +8,16 @@ words.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Code points that one vectorised slice holds at most (a longer text is a slice of its own).
 SLICE_CHARS = 4_000_000
+#: Bytes of word hashes that are worked on at a time.
+PORTION_BYTES = 4_000_000
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -108,6 +111,21 @@ def from_binary(cells: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
     return whole, (at - at[0]) // size
 
 
+def portions(batch: pa.RecordBatch, columns: Sequence[int], most: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows whose binary cells stay under ``most`` bytes together (a larger row is a run of its own)."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for k in columns:
+        size += pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, n in enumerate(size.tolist()):
+        if held and held + n > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Similarity of the i-th set of ``a`` with the i-th of ``b`` (sorted distinct values); 0 where one is empty."""
     n = len(a[1]) - 1
