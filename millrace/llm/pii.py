@@ -13,9 +13,9 @@ always the same two words, a given name stands beside many surnames. Runs of
 disclosive given names and surnames are then mentions wherever they stand, in
 either order and any case.
 
-The list of disclosive terms is bounded: a term is taken up only with at least
-1 / MOST_TERMS of all counts, so there can't be more than MOST_TERMS of each
-role, however large the corpus.
+The disclosive terms stay a table, of any length. Documents are dealt into
+blocks of bounded size, and a block gets the shares of its own words and their
+endings only.
 
 Patterns run over a folded copy of the text (marks, invisible characters and
 broken encodings undone, Turkish letters as their base letters); mentions are
@@ -32,7 +32,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +40,9 @@ from pyspark.sql import functions as F
 
 from millrace.storage import materialize, spread
 
-MOST_TERMS = 100_000
+#: UTF-8 bytes and rows of the documents in one block, on average.
+BLOCK_BYTES, BLOCK_ROWS = 2_000_000, 5_000
+GIVEN, SURNAME, ENDING = 0, 1, 2
 #: Share of a word's occurrences that stand at a person's place, for a given name (it may be a common word too), for a surname, and the product of both for a mention.
 GIVEN_SHARE, LAST_SHARE, MENTION_SHARE = 0.004, 0.13, 0.0008
 #: Different partners that a term has at least, and those of a whole surname.
@@ -239,26 +241,29 @@ def name_pairs(folded: str) -> Iterator[tuple[str, str, int]]:
         yield m[1].lower(), m[2].lower(), 0
 
 
-def _statistics(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(first, last, announced, n) of pairs, and (term, n) of all words, over the whole corpus."""
+def _statistics(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(first, last, announced, n) of pairs, (term, n) of all words, and (block, term) of each block's words, over the whole corpus."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             pairs: Counter[tuple[str, str, int]] = Counter()
-            terms: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
+            terms: Counter[tuple[str, int]] = Counter()
+            for text, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
                     folded = Folded(text).folded
                     folded = _blank(folded, formed(folded))
                     pairs.update(name_pairs(folded))
-                    terms.update(TOKEN.findall(folded.lower()))
-            rows = [(a, b, c, n) for (a, b, c), n in pairs.items()] + [(t, None, -1, n) for t, n in terms.items()]
-            a, b, c, n = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int32()), pa.array(n, pa.int64())], ["first", "last", "announced", "n"])
+                    for t, n in Counter(TOKEN.findall(folded.lower())).items():
+                        terms[t, block] += n
+            rows = [(a, b, c, None, n) for (a, b, c), n in pairs.items()] + [(t, None, -1, block, n) for (t, block), n in terms.items()]
+            a, b, c, d, n = zip(*rows) if rows else ((), (), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int32()), pa.array(d, pa.int64()), pa.array(n, pa.int64())], ["first", "last", "announced", "block", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "first string, last string, announced int, n bigint").groupBy("first", "last", "announced").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "block").mapInArrow(run, "first string, last string, announced int, block bigint, n bigint").groupBy("first", "last", "announced", "block").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "terms")
-    return counted.filter("announced >= 0"), counted.filter("announced = -1").select(F.col("first").alias("term"), "n")
+    by_block = counted.filter("announced = -1").select("block", F.col("first").alias("term"), "n")
+    terms = materialize(by_block.groupBy("term").agg(F.sum("n").alias("n")), "vocabulary")
+    return counted.filter("announced >= 0").drop("block"), terms, by_block.select("block", "term")
 
 
 def _endings(c: Column) -> Column:
@@ -266,17 +271,17 @@ def _endings(c: Column) -> Column:
     return F.filter(F.array(*[F.when(F.length(c) >= k + 2, F.substring(c, -k, k)) for k in ENDINGS]), lambda x: x.isNotNull())
 
 
-def disclosive(docs: DataFrame) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
-    """Given names, surnames and surname endings with the share of occurrences by which each discloses a person, from all documents."""
-    pairs, terms = _statistics(docs)
+def disclosive(pairs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(role, term, share): given names, surnames and surname endings with the share of occurrences by which each discloses a person, from the statistics of all documents."""
+    schema = "role int, term string, share double"
     nouns = list(NOT_PERSONS)
     pairs = pairs.filter(~F.col("first").isin(nouns) & ~F.col("last").isin(nouns))
     words = terms.agg(F.sum("n")).first()[0] or 0
     endings_all = terms.select(F.explode(_endings(F.col("term"))).alias("term"), "n").groupBy("term").agg(F.sum("n").alias("n"))
 
     def strong(rows: DataFrame, occurrences: DataFrame, total: int, least: float, partners: int) -> DataFrame:
-        """Of (term, partner, n), the terms with enough counts and partners, a share of at least ``least`` and positive mutual information."""
-        held = rows.groupBy("term").agg(F.sum("n").alias("a"), F.approx_count_distinct("partner").alias("d")).filter((F.col("a") >= max(1, -(-total // MOST_TERMS))) & (F.col("d") >= partners))
+        """Of (term, partner, n), the terms with enough partners, a share of at least ``least`` and positive mutual information."""
+        held = rows.groupBy("term").agg(F.sum("n").alias("a"), F.approx_count_distinct("partner").alias("d")).filter(F.col("d") >= partners)
         scored = held.join(occurrences, "term").withColumn("share", F.least(F.lit(1.0), F.col("a") / F.col("n")))
         pmi = F.log(F.col("share")) - math.log(total / words)
         return scored.filter((F.col("share") >= least) & (pmi > 0)).select("term", "share", "a")
@@ -285,30 +290,30 @@ def disclosive(docs: DataFrame) -> tuple[dict[str, float], dict[str, float], dic
         return rows.select(F.explode(_endings(F.col("last"))).alias("term"), F.col("first").alias("partner"), "n")
 
     def ended(rows: DataFrame, endings: DataFrame) -> DataFrame:
-        """Pairs whose surname has one of the endings (at most MOST_TERMS for each length)."""
+        """Pairs whose surname has one of the endings."""
         split = rows.withColumn("_e", F.explode(_endings(F.col("last"))))
-        return split.join(F.broadcast(endings.select(F.col("term").alias("_e"))), "_e", "left_semi").groupBy("first", "last").agg(F.max("n").alias("n"))
+        return split.join(endings.select(F.col("term").alias("_e")), "_e", "left_semi").groupBy("first", "last").agg(F.max("n").alias("n"))
 
     announced = pairs.filter("announced = 1")
     total = announced.agg(F.sum("n")).first()[0] or 0
     if not total or not words:
-        return {}, {}, {}
+        return pairs.sparkSession.createDataFrame([], schema)
     endings = strong(by_ending(announced), endings_all, total, LAST_SHARE, PARTNERS)
     # a second look with every pair whose surname has a disclosive ending, announced or not
     either = pairs.groupBy("first", "last").agg(F.max("n").alias("n"))
     seen = materialize(ended(either, endings), "seeds")
     total = seen.agg(F.sum("n")).first()[0] or 0
     if not total:
-        return {}, {}, {}
+        return pairs.sparkSession.createDataFrame([], schema)
     lasting = strong(by_ending(seen), endings_all, total, LAST_SHARE, PARTNERS)
     surnames = strong(seen.select(F.col("last").alias("term"), F.col("first").alias("partner"), "n"), terms, total, LAST_SHARE, SURNAME_PARTNERS)
     given = materialize(strong(seen.select(F.col("first").alias("term"), F.col("last").alias("partner"), "n"), terms, total, GIVEN_SHARE, PARTNERS), "lexicon")
     # a word that stands before given names more often than before surnames announces persons and isn't a name
     names = given.select(F.col("term").alias("g"))
-    before = either.join(F.broadcast(names), F.col("last") == F.col("g"), "left_semi").groupBy("first").agg(F.sum("n").alias("b"))
+    before = either.join(names, F.col("last") == F.col("g"), "left_semi").groupBy("first").agg(F.sum("n").alias("b"))
     given = given.join(before, F.col("term") == F.col("first"), "left").filter(F.coalesce("b", F.lit(0)) < F.col("a"))
-    as_dict = lambda df: {r["term"]: r["share"] for r in df.collect()}
-    return as_dict(given), as_dict(surnames), as_dict(lasting)
+    with_role = lambda df, role: df.select(F.lit(role).alias("role"), df["term"], "share")
+    return materialize(with_role(given, GIVEN).unionByName(with_role(surnames, SURNAME)).unionByName(with_role(lasting, ENDING)), "lexicon")
 
 
 class NameFinder:
@@ -404,51 +409,61 @@ def mentions(text: str, finder: NameFinder) -> list[tuple[int, int, str]]:
     return sorted((*f.span(s, e), kind) for s, e, kind in spans)
 
 
-def _finder(docs: DataFrame):
-    lexicon = disclosive(docs)
-    return docs.sparkSession.sparkContext.broadcast(lexicon)
+def _by_block(docs: DataFrame, doc_id: str, text: str, work: Callable[[pa.Table, NameFinder], pa.Table], out: str) -> DataFrame:
+    """``work`` on the (doc_id, text) of each block, with the disclosive terms among the block's words."""
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-size // BLOCK_BYTES), -(-n // BLOCK_ROWS))
+    # the text is in the hash beside the id, as ids may repeat or be null
+    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("bigint"))
+    pairs, terms, words = _statistics(docs)
+    lexicon = disclosive(pairs, terms)
+    asked = words.select(F.col("block").alias("b"), F.col("term").alias("t"))
+    ends = asked.select("b", F.explode(_endings(F.col("t"))).alias("t")).distinct()
+    whole = asked.join(lexicon.filter(F.col("role") != ENDING), F.col("t") == F.col("term"))
+    tables = whole.unionByName(ends.join(lexicon.filter(F.col("role") == ENDING), F.col("t") == F.col("term"))).select("b", "role", "term", "share")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        shares: tuple[dict[str, float], ...] = ({}, {}, {})
+        for role, term, share in zip(*(right.column(c).to_pylist() for c in ("role", "term", "share"))):
+            shares[role][term] = share
+        return work(left, NameFinder(*shares))
+
+    return docs.groupBy("block").cogroup(tables.groupBy("b")).applyInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {out}")
 
 
 def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, kind, mention), distinct."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = _finder(docs)
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = NameFinder(*shared.value)
-        for batch in it:
-            places, kinds, found = [], [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                if t:
-                    for s, e, kind in mentions(t, finder):
-                        places.append(i)
-                        kinds.append(kind)
-                        found.append(t[s:e])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(places, pa.int64())), pa.array(kinds, pa.string()), pa.array(found, pa.string())], ["doc_id", "kind", "mention"])
+    def work(rows: pa.Table, finder: NameFinder) -> pa.Table:
+        places, kinds, found = [], [], []
+        for i, t in enumerate(rows.column("text").to_pylist()):
+            if t:
+                for s, e, kind in mentions(t, finder):
+                    places.append(i)
+                    kinds.append(kind)
+                    found.append(t[s:e])
+        return pa.table({"doc_id": rows.column("doc_id").take(pa.array(places, pa.int64())), "kind": pa.array(kinds, pa.string()), "mention": pa.array(found, pa.string())})
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, kind string, mention string").distinct()
+    return _by_block(docs, doc_id, text, work, "kind string, mention string").distinct()
 
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text) with each mention replaced by ``[EMAIL]``, ``[PHONE]`` and so on; all else unchanged."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = _finder(docs)
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = NameFinder(*shared.value)
-        for batch in it:
-            out: list[str | None] = []
-            for t in batch.column(1).to_pylist():
-                if t:
-                    parts, at = [], 0
-                    for s, e, kind in mentions(t, finder):
-                        parts += [t[at:s], f"[{kind.upper()}]"]
-                        at = e
-                    t = "".join(parts) + t[at:]
-                out.append(t)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
-
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string")
+    def work(rows: pa.Table, finder: NameFinder) -> pa.Table:
+        out: list[str | None] = []
+        for t in rows.column("text").to_pylist():
+            if t:
+                parts, at = [], 0
+                for s, e, kind in mentions(t, finder):
+                    parts += [t[at:s], f"[{kind.upper()}]"]
+                    at = e
+                t = "".join(parts) + t[at:]
+            out.append(t)
+        return pa.table({"doc_id": rows.column("doc_id"), "text": pa.array(out, pa.string())})
+
+    return _by_block(docs, doc_id, text, work, "text string")
 
 
 def personal_found(spark: SparkSession, sf_dir: str) -> DataFrame:

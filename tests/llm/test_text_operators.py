@@ -220,6 +220,17 @@ def test_names(spark):
     assert len(got & want) > 0.97 * len(want) and len(got - want) <= 0.02 * len(want)
 
 
+def test_rare_names_stay_in_large_lexicons(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_TERMS", 50, raising=False)
+    monkeypatch.setattr(pii, "BLOCK_ROWS", 60, raising=False)
+    docs, _ = people()
+    last = ["Boztepeli", "Karadereli", "Yazçamoğlu"]
+    docs += [(1000 + k, f"Sayın Nazende {x}, dilekçeniz alındı.") for k, x in enumerate(last)]
+    docs += [(1100, "Kitabı Nazende Taştepeli çevirdi.")]
+    got = {tuple(r) for r in pii.find_personal(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert (1100, "name", "Nazende Taştepeli") in got
+
+
 def test_redaction(spark):
     docs, _ = people(200)
     text = "Sayın Selin Boztepeli, a@b.example; Tel. 0599 926 22 27 ğ\n"
