@@ -407,7 +407,7 @@ def _(s, d):
 @query("bernoulli_mix")
 def _(s, d):
     rows = materialize(texts(s, d).select("doc_id", "lang"), "streams")
-    return mixing.bernoulli_mix(rows.filter("lang = 'tr'"), rows.filter("lang <> 'tr'"), ["doc_id"]).select("doc_id", "side", "pos")
+    return mixing.bernoulli_mix(rows.filter("lang = 'tr'"), rows.filter("NOT (lang <=> 'tr')"), ["doc_id"]).select("doc_id", "side", "pos")
 
 
 # Packing

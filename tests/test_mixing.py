@@ -59,3 +59,12 @@ def test_bernoulli_mix(spark):
     got = [r.t for r in M.bernoulli_mix(a, b, ["d"], 0.75, 7).orderBy("pos").collect()]
     assert got == [f"{'ab'[s]}{k}" for s, k in drawn(30, 10, 0.75, 7, None)]
     assert M.observed_ratio(a, F.lit(True)).first().ratio == 1.0 and M.observed_ratio(a.limit(0), F.lit(True)).first().ratio == 0.0
+
+
+def test_rows_without_language_are_in_the_second_stream(spark, tmp_path):
+    from millrace.plans import registry
+
+    rows = [(i, "bir", lang) for i, lang in enumerate(["tr"] * 20 + ["en"] * 3 + [None] * 3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = [r.doc_id for r in registry.QUERIES["bernoulli_mix"](spark, str(tmp_path)).collect() if r.side == 1]
+    assert sorted(got) == list(range(20, 26))
