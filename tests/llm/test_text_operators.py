@@ -1,11 +1,14 @@
 import collections
 import random
+import re
 
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import encoding, leakage, mixing, pii, tokens
+from millrace.llm import encoding, folding, forms, leakage, mixing, pii, tokens
 
 VOCAB = tokens.tokenizer_path("byte_bpe_50k.tiktoken")
 ODD = ["", None, " ", "\n\n\n", "a", "<|endoftext|> x", "ğüşıöç İĞÜŞÖÇ", "I'll it's we'VE o'nun", "x" * 5000, "12 345\t6", "a\x1cb\x85c\xa0d e　f", "é ​😀👨‍👩‍👧", "tab\t\tend  ", "a  b   c\n \n d", "\0 null", "!!??..."]
@@ -184,28 +187,70 @@ FORMS = [
 ]
 
 
+NOTHING = pii.Lexicon(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+
+
+def found(texts, lexicon=NOTHING):
+    s = folding.Slice(texts)
+    spans = [[] for _ in texts]
+    for c in forms.candidates(s)[0]:
+        i = int(np.searchsorted(s.bounds, c.start, "right")) - 1
+        spans[i].append((c.start - s.bounds[i], c.end - s.bounds[i], *c[2:]))
+    return pii.mentions(texts, [np.array(x, pii._SPAN).tobytes() if x else None for x in spans], lexicon)
+
+
 @pytest.mark.parametrize("text,want", FORMS)
 def test_forms(text, want):
-    assert [(k, text[s:e]) for s, e, k in pii.mentions(text, pii.NameFinder({}, {}, {})) if k != "name"] == want
+    assert [(k, text[s:e]) for s, e, k in found([text])[0] if k != "name"] == want
+
+
+def test_forms_in_one_slice():
+    texts = [t for t, _ in FORMS] + ["", None, "\0"]
+    for (text, want), got in zip(FORMS, found(texts)):
+        assert [(k, text[s:e]) for s, e, k in got if k != "name"] == want
 
 
 def test_folding_keeps_places():
-    for text in ("Şule Ağ", "Şule", "ülke ＠", "TÃ¼rk SayÄ±n", "a​b", "x" * 10):
-        f = pii.Folded(text)
-        for i in range(len(f.folded)):
-            s, e = f.span(i, i + 1)
+    texts = ["Şule Ağ", "Şule", None, "ülke ＠", "TÃ¼rk SayÄ±n", "a​b ½ ﬁ 😀", "", "x" * 10, "\0a"]
+    f = folding.Slice(texts)
+    assert len(f.bounds) == len(texts) + 1
+    for i, text in enumerate(texts):
+        for at in range(int(f.bounds[i]), int(f.bounds[i + 1]) - 1):
+            s, e = f.span(i, at, at + 1)
             assert 0 <= s < e <= len(text)
-    f = pii.Folded("SayÄ±n Ş​ule")
-    assert f.folded == "Sayin Sule" and f.text[slice(*f.span(6, 10))] == "Ş​ule"
+    text = "SayÄ±n Ş​ule"
+    f = folding.Slice(["", text])
+    assert f.folded == "\0Sayin Sule" and text[slice(*f.span(1, 7, 11))] == "Ş​ule"
+
+
+@given(st.lists(st.text(alphabet="aBçÇıİ\u0301 -.1\n", max_size=30), min_size=1, max_size=6))
+def test_words_of_a_slice(texts):
+    s = folding.Slice(texts)
+    want = [(m[0].lower(), i) for i, t in enumerate(s.folded.split("\0")) for m in re.finditer("[A-Za-z]{2,}", t)]
+    got = s.words
+    assert [folding.word_hash(w) for w, _ in want] == got.hash.tolist()
+    ends = got.endings(np.arange(len(got)))
+    for j, k in enumerate(folding.ENDINGS):
+        assert [folding.word_hash(w[-k:]) if len(w) >= k + 2 else 0 for w, _ in want] == ends[j].tolist()
+
+
+def test_words_before_a_number_disclose_it(spark):
+    good, bad = "10000000146", "10000000147"
+    docs = [f"Zarf no {bad} geldi." for _ in range(20)] + [f"Zarf no {good} geldi.", f"Sicili {good} oldu."]
+    docs += [f"Rehber +90 571 901 {k} 24." for k in range(10, 30)] + ["Rehber 5719016124.", "Koli 5719016124."]
+    rows = pii.find_personal(spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")).collect()
+    got = {(r.doc_id, r.kind, r.mention) for r in rows}
+    assert {r for r in got if r[1] == "id_number"} == {(21, "id_number", good)}
+    assert (42, "phone", "5719016124") in got and not any(d == 43 for d, _, _ in got)
 
 
 def people(n=400, seed=1):
     rng = random.Random(seed)
-    given = ["Tolga", "Selin", "Övgü", "Şule", "Nehir", "Barış", "İpek", "Onur"]
+    firsts = ["Tolga", "Selin", "Övgü", "Şule", "Nehir", "Barış", "İpek", "Onur"]
     last = [a + b for a in ("Yaz", "Boz", "Kara", "Taş", "Göksu") for b in ("tepeli", "dereli", "çamoğlu")]
     docs, want = [], set()
     for k in range(n):
-        name = f"{rng.choice(given)} {rng.choice(last)}"
+        name = f"{rng.choice(firsts)} {rng.choice(last)}"
         shown = rng.choice([name, name.upper().replace("I", "I"), name])
         text = rng.choice(["Sayın {}, dilekçeniz alındı.", "Yazan: {};", "Dr. {} bulguları sundu.", "Kitabı {} çevirdi.", "Komşumuz {} dün taşındı.", "{}'ın dükkânı kapandı."]).format(shown)
         docs.append((k, f"{text} Nehir boyunca yağmur ve barış sürdü. {rng.choice(['Barış Parkı açıldı.', 'Onur Caddesi kapandı.', 'Sayın Kurul Üyeleri, gündem ektedir.', 'Yazan: Akköy Haber Merkezi'])}"))
@@ -221,8 +266,7 @@ def test_names(spark):
 
 
 def test_rare_names_stay_in_large_lexicons(spark, monkeypatch):
-    monkeypatch.setattr(pii, "MOST_TERMS", 50, raising=False)
-    monkeypatch.setattr(pii, "BLOCK_ROWS", 60, raising=False)
+    monkeypatch.setattr(pii, "BLOCK_CHARS", 5000)
     docs, _ = people()
     last = ["Boztepeli", "Karadereli", "Yazçamoğlu"]
     docs += [(1000 + k, f"Sayın Nazende {x}, dilekçeniz alındı.") for k, x in enumerate(last)]
@@ -231,6 +275,14 @@ def test_rare_names_stay_in_large_lexicons(spark, monkeypatch):
     assert (1100, "name", "Nazende Taştepeli") in got
 
 
+def test_lexicon_of_another_corpus(spark):
+    docs, _ = people()
+    one = spark.createDataFrame([(1, "Dün Selin Boztepeli geldi.")], "doc_id bigint, text string")
+    assert pii.find_personal(one).count() == 0
+    lexicon = pii.corpus_lexicon(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert [tuple(r) for r in pii.find_personal(one, lexicon=lexicon).collect()] == [(1, "name", "Selin Boztepeli")]
+
+
 def test_redaction(spark):
     docs, _ = people(200)
     text = "Sayın Selin Boztepeli, a@b.example; Tel. 0599 926 22 27 ğ\n"
