@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -47,11 +48,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def release(df: DataFrame) -> None:
-    """Remove the table behind a materialised DataFrame that nothing reads any more."""
-    path = getattr(df, "_millrace_path", None)
-    if path:
-        _remove(df.sparkSession, path)
+def release(*tables: DataFrame) -> None:
+    """Remove the tables behind materialised DataFrames that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_millrace_path", None)
+        if path:
+            _remove(df.sparkSession, path)
+
+
+def collect_garbage(df: DataFrame) -> None:
+    """Have Spark remove the shuffle files of finished jobs.
+
+    It does so when the driver happens to collect its garbage, and a driver
+    with much memory may not while executors fill their disks.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def _remove(spark: SparkSession, path: str) -> None:
