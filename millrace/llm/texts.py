@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import distinct, from_binary, jaccard, portions, triples
+from millrace.llm.words import distinct, from_binary, hamming, portions, triples
 
 
 def hash_as_read(c: Column) -> Column:
@@ -48,7 +48,9 @@ def similar(pairs: DataFrame, least: float) -> DataFrame:
         for whole in it:
             for batch in portions(whole, (2, 3)):
                 sets = [distinct(*triples(*from_binary(batch.column(k), np.uint32))) for k in (2, 3)]
-                s = jaccard(*sets)
+                ones = np.diff(sets[0][1]) + np.diff(sets[1][1])
+                distance = hamming(*sets)
+                s = np.where((np.diff(sets[0][1]) > 0) & (np.diff(sets[1][1]) > 0), (ones - distance) / np.maximum(ones + distance, 1), 0.0)
                 keep = pa.array(s >= least)
                 yield pa.RecordBatch.from_arrays([pc.filter(batch.column(0), keep), pc.filter(batch.column(1), keep), pa.array(s[s >= least])], ["a", "b", "similarity"])
 

@@ -126,23 +126,12 @@ def portions(batch: pa.RecordBatch, columns: Sequence[int], most: int = PORTION_
         yield batch.slice(start)
 
 
-def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Similarity of the i-th set of ``a`` with the i-th of ``b`` (sorted distinct values); 0 where one is empty."""
+def hamming(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Hamming distance of the indicator vectors of the i-th set of ``a`` and the i-th of ``b`` (sorted distinct values)."""
     n = len(a[1]) - 1
     owner = np.concatenate([np.repeat(np.arange(n), np.diff(a[1])), np.repeat(np.arange(n), np.diff(b[1]))])
     values = np.concatenate([a[0], b[0]])
     order = np.lexsort((values, owner))
     v, o = values[order], owner[order]
-    same = np.bincount(o[1:][(v[1:] == v[:-1]) & (o[1:] == o[:-1])], minlength=n) if len(v) else np.zeros(n)
-    sizes_a, sizes_b = np.diff(a[1]), np.diff(b[1])
-    union = sizes_a + sizes_b - same
-    return np.where((sizes_a > 0) & (sizes_b > 0), same / np.maximum(union, 1), 0.0)
-
-
-def word_hash_table(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow over (hash, text): (hash, words), the 32-bit word hashes of each text as binary."""
-    for batch in it:
-        texts = batch.column(1).to_pylist()
-        for lo, hi in slices(texts):
-            words, offsets = word_lists(texts[lo:hi])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), binary_list(hash_words(words), offsets)], ["hash", "words"])
+    same = np.bincount(o[1:][(v[1:] == v[:-1]) & (o[1:] == o[:-1])], minlength=n) if len(v) else np.zeros(n, np.int64)
+    return np.diff(a[1]) + np.diff(b[1]) - 2 * same
