@@ -1,11 +1,12 @@
 """Encoding of a whole corpus through a table of distinct words.
 
-Texts are split into pre-tokens inside Spark. Documents are dealt into blocks
-of bounded size; a block needs each distinct pre-token once, so what is
-shuffled is (block, distinct word), not one row per position, and a word that
-stands in every text is at most one row per block. Each distinct word is
-encoded once; its ids go back to the blocks that asked for it and are laid out
-by position with Arrow gathers.
+Texts are split into pre-tokens inside Spark, once. As they are read, documents
+are dealt into blocks of bounded size; a block numbers its distinct words, and
+keeps each document as the numbers of its words. What is shuffled are these
+numbers and one row for each distinct word of a block, so a word that stands in
+every text is at most one row per block. Each distinct word is encoded once;
+its ids go back to the blocks that asked for it and are laid out by position
+with Arrow gathers.
 
 Results: empty and null texts have the empty list; marker strings are ordinary
 text; a repeated row is encoded as often as it stands; an empty table gives no
@@ -19,14 +20,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import load_bpe, tokenizer_path
+from millrace.llm.words import binary_list, from_binary
 from millrace.storage import materialize, spread
 
-#: UTF-8 bytes and rows of the documents in one block, on average.
-BLOCK_BYTES, BLOCK_ROWS = 2_000_000, 5_000
+#: Words and rows of the documents in one block, about (a longer document is a block of its own).
+BLOCK_WORDS, BLOCK_ROWS = 400_000, 5_000
 
 #: The pre-token pattern with White_Space spelled for Java, whose \s is ASCII only (fixed value).
 JAVA_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?![^\p{IsWhite_Space}])|\p{IsWhite_Space}+"
@@ -50,19 +53,49 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
     return words.mapInArrow(run, "word string, ids array<int>")
 
 
+def number_words(split: DataFrame) -> DataFrame:
+    """(doc_id, words) -> rows of documents (block, doc_id, codes) and of their blocks' words (block, word, code)."""
+    schema = f"block bigint, code int, word string, codes binary, doc_id {split.schema['doc_id'].dataType.simpleString()}"
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in it:
+            lists = batch.column(1)
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BLOCK_WORDS, "right")) - 1)
+                hi = min(hi, lo + BLOCK_ROWS, batch.num_rows)
+                at = offsets[lo : hi + 1] - offsets[lo]
+                coded = lists.values.slice(offsets[lo], at[-1]).dictionary_encode()
+                words, n = coded.dictionary, hi - lo
+                codes = binary_list(coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), at)
+                yield _row(schema_names, n, block=np.full(n, block), codes=codes, doc_id=batch.column(0).slice(lo, n), ids=batch.column(0).type)
+                m = len(words)
+                yield _row(schema_names, m, block=np.full(m, block), code=np.arange(m, dtype=np.int32), word=words, ids=batch.column(0).type)
+                block += 1
+                lo = hi
+
+    schema_names = ("block", "code", "word", "codes", "doc_id")
+    return split.select("doc_id", "words").mapInArrow(run, schema)
+
+
+def _row(names: tuple[str, ...], n: int, ids: pa.DataType, **columns) -> pa.RecordBatch:
+    kinds = {"block": pa.int64(), "code": pa.int32(), "word": pa.string(), "codes": pa.binary(), "doc_id": ids}
+    arrays = [pa.nulls(n, kinds[c]) if columns.get(c) is None else columns[c] if isinstance(columns[c], pa.Array) else pa.array(columns[c], kinds[c]) for c in names]
+    return pa.RecordBatch.from_arrays(arrays, list(names))
+
+
 def _lay_out(docs: pa.Table, table: pa.Table) -> pa.Table:
     """Ids of the documents of one block, from the block's table of words."""
-    lists = docs.column("words").combine_chunks()
-    starts = lists.offsets.to_numpy().astype(np.int64)
-    flat = lists.flatten()
-    place = pc.index_in(flat, value_set=table.column("word").combine_chunks()).to_numpy(zero_copy_only=False).astype(np.int64) if len(flat) else np.empty(0, np.int64)
+    codes, starts = from_binary(docs.column("codes"), np.int32)
+    table = table.sort_by("code")  # codes are 0, 1, 2 ...
     ids = table.column("ids").combine_chunks()
     id_starts, id_flat = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy(zero_copy_only=False)
-    lengths = np.diff(id_starts)[place]
+    lengths = np.diff(id_starts)[codes] if len(codes) else np.empty(0, np.int64)
     ends = np.concatenate([[0], np.cumsum(lengths)])
-    out = id_flat[np.repeat(id_starts[:-1][place] - ends[:-1], lengths) + np.arange(ends[-1])] if len(place) else np.empty(0, np.int32)
-    offsets = ends[starts - starts[0]].astype(np.int32)
-    encoded = pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.astype(np.int32)))
+    out = id_flat[np.repeat(id_starts[:-1][codes] - ends[:-1], lengths) + np.arange(ends[-1])] if len(codes) else np.empty(0, np.int32)
+    encoded = pa.ListArray.from_arrays(pa.array(ends[starts].astype(np.int32)), pa.array(out.astype(np.int32)))
     return pa.table({"doc_id": docs.column("doc_id"), "ids": encoded})
 
 
@@ -70,19 +103,17 @@ def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     """(doc_id, ids) of each row."""
     path = path or tokenizer_path("byte_bpe_50k.tiktoken")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    blocks = max(1, -(-size // BLOCK_BYTES), -(-n // BLOCK_ROWS))
-    # the text is in the hash beside the id, as ids may repeat or be null
-    split = split_words(docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("bigint")), "text", ["block", "doc_id"])
-    asked = split.select(F.col("block").alias("b"), F.explode("words").alias("word")).distinct()
+    numbered = materialize(number_words(split_words(docs, "text", ["doc_id"])), "words")
+    asked = numbered.filter(F.col("code").isNotNull()).select(F.col("block").alias("b"), "code", "word")
     encoded = encode_words(asked.select("word").distinct(), path)
-    tables = asked.join(encoded.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).select("b", "word", "ids")
+    tables = asked.join(encoded.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).select("b", "code", "ids")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def lay_out(left: pa.Table, right: pa.Table) -> pa.Table:
         return _lay_out(left, right)
 
-    return split.groupBy("block").cogroup(tables.groupBy("b")).applyInArrow(lay_out, f"doc_id {id_type}, ids array<int>")
+    rows = numbered.filter(F.col("code").isNull()).select("block", "doc_id", "codes")
+    return rows.groupBy("block").cogroup(tables.groupBy("b")).applyInArrow(lay_out, f"doc_id {id_type}, ids array<int>")
 
 
 def pieces(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -115,7 +146,7 @@ def decode_corpus(encoded: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """
     docs = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids").cast("bigint")), F.lit(0))).first()
-    blocks = max(1, -(-size // BLOCK_BYTES), -(-n // BLOCK_ROWS))
+    blocks = max(1, -(-size // BLOCK_WORDS), -(-n // BLOCK_ROWS))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(blocks)).cast("bigint"))
     asked = docs.select(F.col("block").alias("b"), F.explode("ids").alias("i")).distinct()
     tables = asked.join(F.broadcast(vocabulary), F.col("i") == F.col("id")).select("b", "id", F.unhex("piece").alias("piece"))
