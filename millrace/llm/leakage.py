@@ -2,15 +2,18 @@
 
 Both sides are words. Runs of ``least`` words are hashed by a running
 Karp-Rabin polynomial; hits of a text's hashes in the hash table of the
-prompts are the seeds. Where a text and a prompt share seeds, the longest
-match that overlaps no earlier tile is marked, again and again, until none of
-at least ``least`` words is left. A tile is thus a run of words that stands in
-both without a gap, and the tiles of a prompt may lie in the text in any
-order.
+prompts are the seeds. Seeds that follow each other in both are one match.
+Where a text and a prompt share seeds, the longest match that overlaps no
+earlier tile is marked, again and again, until none of at least ``least`` words
+is left; a match that a tile cuts leaves its free parts. A tile is thus a run of
+words that stands in both without a gap, and the tiles of a prompt may lie in
+the text in any order; what they cover of the prompt has a threshold.
 
 The prompts are a stated set of a size that doesn't grow with the corpus (240
-at every scale); they are tabulated in blocks of bounded size, and each text
-is read once for each block. Nothing of the corpus is shuffled.
+at every scale). Their bytes are counted first: up to ITEM_BYTES of them come to
+the driver at a time, and each text is read once for each such part. Nothing of
+the corpus is shuffled. A text and a prompt that both repeat a phrase have as
+many seeds as pairs of its occurrences, at most the product of their words.
 
 Results: null, empty and short texts and prompts have no tile; a prompt that
 stands under several ids is reported under each; a repeated row is reported
@@ -19,6 +22,7 @@ once; coverage is the share of the prompt's words under tiles.
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,8 +35,8 @@ from millrace.llm.words import hash_words, slices, word_lists
 from millrace.storage import spread
 
 LEAST_WORDS = 10
-#: Words of the prompts that one table holds at most, besides those of its last prompt.
-TABLE_WORDS = 2_000_000
+#: UTF-8 bytes of the prompts that one table holds, about.
+ITEM_BYTES = 16_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,12 +55,13 @@ class SeedTable:
     """Karp-Rabin hashes of every run of ``least`` words of the prompts."""
 
     def __init__(self, prompts: list[list[str]], least: int):
-        self.least, self.prompts = least, prompts
-        self.where: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, words in enumerate(prompts):
-            for at, h in enumerate(rolling(hash_words(words), least).tolist()):
-                self.where[h].append((k, at))
-        self.keys = np.array(sorted(self.where), np.uint64)
+        runs = [rolling(hash_words(words), least) for words in prompts]
+        n = np.array([len(r) for r in runs], np.int64)
+        every = np.concatenate([*runs, np.empty(0, np.uint64)])
+        order = np.argsort(every, kind="stable")
+        self.prompt = np.repeat(np.arange(len(runs)), n)[order]
+        self.place = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))[order]
+        self.keys, self.first, self.many = np.unique(every[order], return_index=True, return_counts=True)
 
     def hits(self, runs: np.ndarray) -> np.ndarray:
         """Positions of ``runs`` that stand in the table."""
@@ -65,63 +70,87 @@ class SeedTable:
         at = np.minimum(np.searchsorted(self.keys, runs), len(self.keys) - 1)
         return np.flatnonzero(self.keys[at] == runs)
 
+    def seeds(self, runs: np.ndarray, at: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(text, prompt, places in the words, places in the prompt) of each text and prompt that share runs, from places ``at`` of known runs."""
+        key = np.searchsorted(self.keys, runs[at])
+        many = self.many[key]
+        entry = np.repeat(self.first[key] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        text, place = np.repeat(owner, many), np.repeat(at, many)
+        order = np.lexsort((self.prompt[entry], text))
+        text, place, entry = text[order], place[order], entry[order]
+        prompt = self.prompt[entry]
+        cuts = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (prompt[1:] != prompt[:-1]))) if len(text) else np.empty(0, np.int64)
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(text)]):
+            yield int(text[lo]), int(prompt[lo]), place[lo:hi], self.place[entry[lo:hi]]
 
-def greedy_tiles(text: list[str], prompt: list[str], seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
-    """Tiles (place in text, place in prompt, words), longest first, none overlapping another on either side.
 
-    ``seeds`` are the (text, prompt) places whose runs of ``least`` words have
-    the same hash; the words themselves are compared here.
+def matches(text: list[str], prompt: list[str], at_text: np.ndarray, at_prompt: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Maximal matches (place in text, place in prompt, words) made of seeds that follow each other in both.
+
+    Seeds have the same hash; the words themselves are compared here.
     """
-    known = set(seeds)
+    diagonal = at_text - at_prompt
+    order = np.lexsort((at_text, diagonal))
+    d, t = diagonal[order], at_text[order]
+    starts = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (t[1:] != t[:-1] + 1)))
+    out = []
+    for first, seeds, shift in zip(t[starts].tolist(), np.diff(np.append(starts, len(t))).tolist(), d[starts].tolist()):
+        end, begin = first + seeds + least - 1, first
+        for k in range(first, end + 1):
+            if k == end or text[k] != prompt[k - shift]:
+                if k - begin >= least:
+                    out.append((begin, begin - shift, k - begin))
+                begin = k + 1
+    return out
+
+
+def greedy_tiles(text: list[str], prompt: list[str], at_text: np.ndarray, at_prompt: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Tiles (place in text, place in prompt, words), longest first, of equals in the order of the text, none overlapping another on either side."""
+    queue = [(-n, t, p) for t, p, n in matches(text, prompt, at_text, at_prompt, least)]
+    heapq.heapify(queue)
     marked_text, marked_prompt = bytearray(len(text)), bytearray(len(prompt))
     tiles = []
-    while True:
-        best: list[tuple[int, int, int]] = []
-        longest = least
-        for t, p in seeds:
-            if (t - 1, p - 1) in known and not (marked_text[t - 1] or marked_prompt[p - 1]) and text[t - 1] == prompt[p - 1]:
-                continue  # inside a match that starts earlier
-            n = 0
-            while t + n < len(text) and p + n < len(prompt) and text[t + n] == prompt[p + n] and not marked_text[t + n] and not marked_prompt[p + n]:
-                n += 1
-            if n > longest:
-                best, longest = [(t, p, n)], n
-            elif n == longest:
-                best.append((t, p, n))
-        if not best:
-            return tiles
-        for t, p, n in best:
-            if not any(marked_text[t : t + n]) and not any(marked_prompt[p : p + n]):
-                marked_text[t : t + n] = marked_prompt[p : p + n] = b"\1" * n
-                tiles.append((t, p, n))
-
-
-def tiles_of(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "id", prompt: str = "prompt", least: int = LEAST_WORDS) -> DataFrame:
-    """(item_id, doc_id, tiles, words, longest, coverage), one row for each text and item with a tile."""
+    while queue:
+        n, t, p = heapq.heappop(queue)
+        n = -n
+        if marked_text.find(1, t, t + n) < 0 and marked_prompt.find(1, p, p + n) < 0:
+            marked_text[t : t + n] = marked_prompt[p : p + n] = b"\1" * n
+            tiles.append((t, p, n))
+            continue
+        free = 0
+        for k in range(n + 1):
+            if k == n or marked_text[t + k] or marked_prompt[p + k]:
+                if k - free >= least:
+                    heapq.heappush(queue, (free - k, t + free, p + free))
+                free = k + 1
+    return tiles
+
+
+def tiles_of(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "id", prompt: str = "prompt", least: int = LEAST_WORDS, least_coverage: float = 0.0) -> DataFrame:
+    """(item_id, doc_id, tiles, words, longest, coverage), one row for each text and item with a tile and at least the coverage."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ids: dict[str, list[str]] = defaultdict(list)
-    for i, p in items.select(item_id, prompt).distinct().toLocalIterator():
-        if p and i is not None:
-            ids[p].append(i)
-    texts = sorted(ids)
-    words, offsets = word_lists(texts)
-    by_words: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for k, p in enumerate(texts):
-        run = tuple(words[offsets[k] : offsets[k + 1]])
-        if len(run) >= least:
-            by_words[run] += ids[p]
-    blocks: list[list[tuple[str, ...]]] = [[]]
-    for run in sorted(by_words):
-        if sum(map(len, blocks[-1])) >= TABLE_WORDS:
-            blocks.append([])
-        blocks[-1].append(run)
+    items = items.select(F.col(item_id).alias("i"), F.col(prompt).alias("p")).filter("i is not null and p != ''").distinct()
+    parts = max(1, -(-(items.agg(F.sum(F.octet_length("p"))).first()[0] or 0) // ITEM_BYTES))
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"item_id string, doc_id {id_type}, tiles int, words int, longest int, coverage double"
     found = None
-    for block in blocks:
-        part = docs.mapInArrow(_tiler(docs.sparkSession, [list(r) for r in block], [sorted(set(by_words[r])) for r in block], least), f"item_id string, doc_id {id_type}, tiles int, words int, longest int, coverage double")
+    for k in range(parts):
+        ids: dict[str, list[str]] = defaultdict(list)
+        for i, p in items.filter(F.pmod(F.xxhash64("p"), F.lit(parts)) == k).collect():  # about ITEM_BYTES
+            ids[p].append(i)
+        texts = sorted(ids)
+        words, offsets = word_lists(texts)
+        by_words: dict[tuple[str, ...], list[str]] = defaultdict(list)
+        for n, p in enumerate(texts):
+            run = tuple(words[offsets[n] : offsets[n + 1]])
+            if len(run) >= least:
+                by_words[run] += ids[p]
+        block = sorted(by_words)
+        part = docs.mapInArrow(_tiler(docs.sparkSession, [list(r) for r in block], [sorted(set(by_words[r])) for r in block], least), schema)
         found = part if found is None else found.unionByName(part)
     # a row for each distinct (item, document), even if the document's row is repeated
-    return found.groupBy("item_id", "doc_id").agg(*[F.max(c).alias(c) for c in ("tiles", "words", "longest", "coverage")])
+    whole = found.groupBy("item_id", "doc_id").agg(*[F.max(c).alias(c) for c in ("tiles", "words", "longest", "coverage")])
+    return whole.filter(F.col("coverage") >= least_coverage) if least_coverage > 0 else whole
 
 
 def _tiler(spark: SparkSession, prompts: list[list[str]], names: list[list[str]], least: int):
@@ -140,12 +169,8 @@ def _tiler(spark: SparkSession, prompts: list[list[str]], names: list[list[str]]
                 at = table.hits(runs)
                 owner = np.searchsorted(offsets, at, "right") - 1
                 inside = at + least <= offsets[owner + 1]
-                seeds: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                for d, pos in zip(owner[inside].tolist(), at[inside].tolist()):
-                    for k, p in table.where[int(runs[pos])]:
-                        seeds[d, k].append((pos - int(offsets[d]), p))
-                for (d, k), pairs in seeds.items():
-                    tiles = greedy_tiles(words[offsets[d] : offsets[d + 1]], prompts[k], pairs, least)
+                for d, k, at_text, at_prompt in table.seeds(runs, at[inside], owner[inside]):
+                    tiles = greedy_tiles(words[offsets[d] : offsets[d + 1]], prompts[k], at_text - offsets[d], at_prompt, least)
                     if tiles:
                         covered = sum(n for _, _, n in tiles)
                         for name in names[k]:

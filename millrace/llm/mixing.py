@@ -7,9 +7,9 @@ source whose target exceeds its size is first used whole, in complete epochs
 (at most ``max_uses`` in all); the rest of its target is the prefix of its
 records in key order.
 
-No source is sorted: a monotone function of the key cuts it into buckets, the
-bucket sums give the one bucket in which the target ends, and only the rows of
-that bucket are ordered.
+No source is sorted: quantiles of its keys cut it into buckets of about equal
+rows, whatever the weights, the bucket sums give the one in which the target
+ends, that one is cut again until it is small, and only its rows are ordered.
 
 Results: without a given total the mixture is the largest in which every
 source with usable records reaches its share within ``max_uses``. With a
@@ -24,6 +24,7 @@ taken if that brings the sum nearer to it.
 from __future__ import annotations
 
 from fractions import Fraction
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ from millrace.llm.tokens import label_fields, with_plan_id
 from millrace.storage import materialize
 
 MAX_USES = 4
-ROWS_PER_BUCKET = 20_000
+#: Rows of a source that are ordered in one task, and the buckets of one cut.
+ROWS_PER_BUCKET, BUCKETS = 20_000, 64
 
 
 def quality_weight() -> F.Column:
@@ -58,6 +60,35 @@ def budgets(sizes: dict[str, int], quotas: dict[str, int | None], total: int | N
     return out
 
 
+def _edges(keyed: DataFrame, rests: dict[str, int], rows: dict[str, int]) -> dict[str, tuple[float, float, int]]:
+    """Of each source, the range of keys (low, high] of at most ROWS_PER_BUCKET rows in which its rest of bytes is reached, and the bytes up to low.
+
+    Each pass cuts the ranges that are still too large; what comes to the
+    driver is BUCKETS rows per plan entry.
+    """
+    spark = keyed.sparkSession
+    edges = {k: (float("-inf"), float("inf"), 0) for k in rests}
+    large = {k for k in rests if rows[k] > ROWS_PER_BUCKET}
+    while large:
+        ranges = spark.createDataFrame([(k, *edges[k][:2]) for k in large], "id string, low double, high double")
+        held = keyed.join(F.broadcast(ranges), "id").filter((F.col("key") > F.col("low")) & (F.col("key") <= F.col("high")))
+        cuts = held.groupBy("id").agg(F.percentile_approx("key", [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("cuts"))
+        bucket = F.size(F.filter("cuts", lambda c: c < F.col("key")))
+        sums = held.join(F.broadcast(cuts), "id").groupBy("id", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("b"), F.max("key").alias("last"))
+        found = {k: sorted((r["bucket"], r["n"], r["b"], r["last"]) for r in group) for k, group in groupby(sorted(sums.collect(), key=lambda r: r["id"]), lambda r: r["id"])}
+        for k in list(large):
+            low, high, before = edges[k]
+            for _, n, size, last in found[k]:
+                if before + size > rests[k] or last == found[k][-1][3]:
+                    break
+                low, before = last, before + size
+            edges[k] = (low, last, before)
+            # equal keys can't be cut
+            if n <= ROWS_PER_BUCKET or len(found[k]) == 1:
+                large.discard(k)
+    return edges
+
+
 def mix(records: DataFrame, quotas: dict[str, int | None], total: int | None = None, max_uses: int = MAX_USES, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """Choose from ``records`` (id, ordinal, n_bytes, weight), one row per record.
 
@@ -72,28 +103,14 @@ def mix(records: DataFrame, quotas: dict[str, int | None], total: int | None = N
     stat = {r["id"]: (r["b"], r["n"]) for r in keyed.groupBy("id").agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect() if r["id"] in quotas}
     sizes = {k: b for k, (b, _) in stat.items()}
     chosen_plan = budgets(sizes, quotas, total, max_uses)
-    buckets = max(16, max((n for _, n in stat.values()), default=0) // ROWS_PER_BUCKET)
-    schema = "id string, epochs int, rest bigint"
-    goal = spark.createDataFrame([(k, e, r) for k, (e, r) in chosen_plan.items()], schema)
-
-    bucketed = keyed.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key") / 2)) * buckets), F.lit(buckets - 1)).cast("int"))
-    sums = bucketed.groupBy("id", "bucket").agg(F.sum("n_bytes").alias("b"))
-    before = F.coalesce(F.sum("b").over(Window.partitionBy("id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ends = (
-        sums.withColumn("before", before)
-        .join(F.broadcast(goal), "id")
-        .filter(F.col("before") + F.col("b") > F.col("rest"))
-        .groupBy("id")
-        .agg(F.min(F.struct("bucket", "before")).alias("e"))
-        .select("id", F.col("e.bucket").alias("last"), F.col("e.before").alias("before"))
-    )
-    # goal and ends have at most one row per plan entry
-    aimed = bucketed.join(F.broadcast(goal), "id").join(F.broadcast(ends), "id", "left")
-    inside = aimed.filter(F.col("last").isNull() | (F.col("bucket") != F.col("last"))).withColumn(
-        "more", (F.col("last").isNull() | (F.col("bucket") < F.col("last"))).cast("int")
-    )
+    edges = _edges(keyed, {k: rest for k, (_, rest) in chosen_plan.items()}, {k: n for k, (_, n) in stat.items()})
+    # one row per plan entry
+    goal = spark.createDataFrame([(k, e, r, *edges[k]) for k, (e, r) in chosen_plan.items()], "id string, epochs int, rest bigint, low double, high double, before bigint")
+    aimed = keyed.join(F.broadcast(goal), "id")
+    at_edge = (F.col("key") > F.col("low")) & (F.col("key") <= F.col("high"))
+    inside = aimed.filter(~at_edge).withColumn("more", (F.col("key") <= F.col("low")).cast("int"))
     running = F.sum("n_bytes").over(Window.partitionBy("id").orderBy("key", "ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    edge = aimed.filter(F.col("bucket") == F.col("last")).withColumn("more", (F.col("before") + running - F.col("n_bytes") / 2 <= F.col("rest")).cast("int"))
+    edge = aimed.filter(at_edge).withColumn("more", (F.col("before") + running - F.col("n_bytes") / 2 <= F.col("rest")).cast("int"))
     columns = ["id", "ordinal", "n_bytes", (F.col("epochs") + F.col("more")).cast("int").alias("repeats")]
     chosen = inside.select(*columns).unionByName(edge.select(*columns)).filter(F.col("repeats") > 0)
 

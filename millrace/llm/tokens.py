@@ -17,6 +17,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,9 +56,11 @@ def count_tokens(df: DataFrame, text: str, keep: list[str], path: str | None = N
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]] + ["n_tokens bigint"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load_bpe(path).encode_ordinary
+        # one batch at a time on the task's own core
+        encode = load_bpe(path).encode_ordinary_batch
         for batch in it:
-            counts = pa.array([len(encode(t)) if t else 0 for t in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
+            texts = pc.fill_null(batch.column(batch.num_columns - 1), "").to_pylist()
+            counts = pa.array(list(map(len, encode(texts, num_threads=1))), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts], names=[*batch.schema.names[:-1], "n_tokens"])
 
     return narrow.mapInArrow(run, schema)

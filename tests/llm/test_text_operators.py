@@ -30,6 +30,7 @@ def odd_docs(spark):
 
 def test_encoding(spark, bpe, monkeypatch):
     monkeypatch.setattr(encoding, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(encoding, "BLOCK_WORDS", 50)
     got = encoding.encode_corpus(odd_docs(spark)).collect()
     assert len(got) == len(ODD) + 2
     by_id = {r.doc_id: r.ids for r in got}
@@ -68,7 +69,10 @@ def records(spark, sizes, seed=1):
     return spark.createDataFrame(rows, "id string, ordinal bigint, n_bytes bigint, weight double").withColumn("bucket", F.lit("own"))
 
 
-def test_mixture_reaches_its_shares(spark):
+@pytest.mark.parametrize("most", [20_000, 30])
+def test_mixture_reaches_its_shares(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", most)
+    monkeypatch.setattr(mixing, "BUCKETS", 4)
     sizes = {"a": 3000, "b": 400, "tiny": 40, "zero": 50, "null": 50}
     quotas = {"a": 60, "b": 30, "tiny": 10, "zero": 0, "null": None, "none": 5}
     df = records(spark, sizes)
@@ -113,11 +117,34 @@ def test_tiles():
     index = collections.defaultdict(list)
     for p in range(31):
         index[tuple(prompt[p : p + 10])].append(p)
-    seeds = [(t, p) for t in range(len(text) - 9) for p in index.get(tuple(text[t : t + 10]), ())]
-    tiles = leakage.greedy_tiles(text, prompt, seeds, 10)
+    seeds = np.array([(t, p) for t in range(len(text) - 9) for p in index.get(tuple(text[t : t + 10]), ())])
+    tiles = leakage.greedy_tiles(text, prompt, seeds[:, 0], seeds[:, 1], 10)
     assert sorted(tiles) == [(1, 20, 15), (17, 0, 15)]
 
 
+@given(st.lists(st.sampled_from("ab"), min_size=1, max_size=30), st.lists(st.sampled_from("ab"), min_size=1, max_size=14))
+def test_tiles_are_those_of_step_by_step_tiling(text, prompt):
+    least = 3
+    seeds = np.array([(t, p) for t in range(len(text) - 2) for p in range(len(prompt) - 2) if text[t : t + 3] == prompt[p : p + 3]], np.int64).reshape(-1, 2)
+    got = leakage.greedy_tiles(text, prompt, seeds[:, 0], seeds[:, 1], least)
+    used_text, used_prompt, want = set(), set(), []
+    while True:
+        best = (least - 1, 0, 0)
+        for t in range(len(text)):
+            for p in range(len(prompt)):
+                n = 0
+                while t + n < len(text) and p + n < len(prompt) and text[t + n] == prompt[p + n] and t + n not in used_text and p + n not in used_prompt:
+                    n += 1
+                best = max(best, (n, -t, -p))
+        if best[0] < least:
+            break
+        n, t, p = best[0], -best[1], -best[2]
+        want.append((t, p, n))
+        used_text |= set(range(t, t + n))
+        used_prompt |= set(range(p, p + n))
+    assert got == want
+
+
 def test_rolling():
     h = np.arange(1, 30, dtype=np.uint32)
     runs = leakage.rolling(h, 10)
@@ -126,9 +153,9 @@ def test_rolling():
     assert len(leakage.rolling(h[:9], 10)) == 0
 
 
-@pytest.mark.parametrize("table", [2_000_000, 30])
+@pytest.mark.parametrize("table", [2_000_000, 100])
 def test_leaks(spark, monkeypatch, table):
-    monkeypatch.setattr(leakage, "TABLE_WORDS", table)
+    monkeypatch.setattr(leakage, "ITEM_BYTES", table)
     rng = random.Random(1)
     word = lambda: rng.choice("abcdefgh") * rng.randint(1, 3)
     prompts = [[word() for _ in range(rng.choice([3, 9, 10, 30]))] for _ in range(12)]
@@ -151,6 +178,8 @@ def test_leaks(spark, monkeypatch, table):
     got = leakage.tiles_of(spark.createDataFrame(docs, "doc_id bigint, text string, item_id string"), spark.createDataFrame(items, "id string, prompt string")).collect()
     assert len(got) == len(want) and {(r.item_id, r.doc_id) for r in got} == want
     assert all(10 <= r.longest <= r.words and 0 < r.coverage <= 1 for r in got)
+    most = leakage.tiles_of(spark.createDataFrame(docs, "doc_id bigint, text string, item_id string"), spark.createDataFrame(items, "id string, prompt string"), least_coverage=0.9).collect()
+    assert sorted(map(str, most)) == sorted(str(r) for r in got if r.coverage >= 0.9)
 
 
 def test_no_prompts(spark):
