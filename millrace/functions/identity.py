@@ -13,14 +13,14 @@ def document_hash(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def document_id(repo: Column, revision: Column, config: Column, split: Column, ordinal: Column, text: Column) -> Column:
-    """'doc_' and the SHA-256 of the compact JSON list of the coordinates and the text's hash.
+def document_id(repo: Column, revision: Column, config: Column, split: Column, ordinal: Column, text: Column | None = None, digest: Column | None = None) -> Column:
+    """'doc_' and the SHA-256 of the compact JSON list of the coordinates and the text's hash (given by itself where it is known).
 
     Coordinates must not hold control characters, which JSON writers escape in
     different ways.
     """
     head = F.to_json(F.array(repo, revision, config, split))
-    listed = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(","), ordinal.cast("string"), F.lit(',"'), document_hash(text), F.lit('"]'))
+    listed = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(","), ordinal.cast("string"), F.lit(',"'), document_hash(text) if digest is None else digest, F.lit('"]'))
     whole = repo.isNotNull() & revision.isNotNull() & config.isNotNull() & split.isNotNull()
     return F.when(whole, F.concat(F.lit("doc_"), F.sha2(listed.cast("binary"), 256)))
 

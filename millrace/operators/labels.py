@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.identity import content_split, document_hash, document_id
-from millrace.functions.text import is_blank
 
 ROUTES = ("PREMIUM", "KEEP", "REVIEW", "DETERMINISTIC_REPAIR", "MODEL_REPAIR", "DROP")
 CLEAN_ROUTES = ("PREMIUM", "KEEP")
@@ -75,8 +74,8 @@ def require_plan(plan: DataFrame) -> None:
         seen.add(r["id"])
 
 
-def raw_rows(upstream: DataFrame, plan: DataFrame) -> DataFrame:
-    """Raw rows with the id and place of their plan entry: (source_id, plan_idx, ordinal, repo, revision, config, split, text); exact repeats once.
+def raw_texts(upstream: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source_id, plan_idx, ordinal, repo, revision, config, split, text) of raw rows.
 
     The plan has one row per source and is broadcast; rows outside it are left out.
     """
@@ -84,24 +83,47 @@ def raw_rows(upstream: DataFrame, plan: DataFrame) -> DataFrame:
     u = upstream.select(*[F.col(f"source.{c}").alias(c) for c in ("repo", "revision", "config", "split")], "ordinal", "text")
     same = [F.col(c) == F.col(f"p_{c}") for c in ("repo", "revision", "config", "split")]
     joined = u.join(F.broadcast(p), same[0] & same[1] & same[2] & same[3])
-    return joined.select("source_id", "plan_idx", "ordinal", "repo", "revision", "config", "split", "text").distinct()
+    return joined.select("source_id", "plan_idx", "ordinal", "repo", "revision", "config", "split", "text")
+
+
+def raw_rows(upstream: DataFrame, plan: DataFrame) -> DataFrame:
+    """What the identity check needs of each raw row: (source_id, plan_idx, ordinal, has_text, content_hash, document_id, n_bytes); exact repeats once.
+
+    Texts are hashed and measured where they are read, and go no further.
+    """
+    hashed = raw_texts(upstream, plan).withColumn("content_hash", document_hash(F.col("text")))
+    coordinates = [F.col(c) for c in ("repo", "revision", "config", "split", "ordinal")]
+    return hashed.select(
+        "source_id",
+        "plan_idx",
+        "ordinal",
+        F.coalesce(F.col("text") != "", F.lit(False)).alias("has_text"),
+        "content_hash",
+        document_id(*coordinates, digest=F.col("content_hash")).alias("document_id"),
+        F.octet_length("text").cast("bigint").alias("n_bytes"),
+    ).distinct()
+
+
+def raw_keys(upstream: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source_id, plan_idx, ordinal) of raw rows, without reading texts."""
+    return raw_texts(upstream, plan).select("source_id", "plan_idx", "ordinal")
 
 
 def join_labels(raw: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled raw rows with what the identity check finds.
+    """Labelled raw rows (see raw_rows) with what the identity check finds.
 
-    ``text_ok``, ``hash_ok``, ``id_ok`` and ``bytes_ok`` compare the row's text
-    with the label; ``violation`` names the first that fails.
+    ``text_ok`` (a text that isn't empty), ``hash_ok``, ``id_ok`` and
+    ``bytes_ok`` compare the row with its label; ``violation`` names the first
+    that fails.
     """
     label = labels.select(F.col("source_id").alias("l_source_id"), "row_ordinal", F.col("doc_id").alias("l_doc_id"), F.col("document_hash").alias("l_hash"), "input_bytes", "input_truncated", "predicted_label_json", "predicted_route")
     joined = raw.join(label, (F.col("source_id") == F.col("l_source_id")) & (F.col("ordinal") == F.col("row_ordinal"))).drop("l_source_id", "row_ordinal")
-    text = F.col("text")
+    same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
     checked = (
-        joined.withColumn("content_hash", document_hash(text))
-        .withColumn("text_ok", ~is_blank(text))
-        .withColumn("hash_ok", F.coalesce(F.col("content_hash") == F.col("l_hash"), F.lit(False)))
-        .withColumn("id_ok", F.coalesce(document_id(F.col("repo"), F.col("revision"), F.col("config"), F.col("split"), F.col("ordinal"), text) == F.col("l_doc_id"), F.lit(False)))
-        .withColumn("bytes_ok", F.coalesce(F.octet_length(text) == F.col("input_bytes"), F.lit(False)))
+        joined.withColumn("text_ok", F.col("has_text"))
+        .withColumn("hash_ok", same("content_hash", "l_hash"))
+        .withColumn("id_ok", same("document_id", "l_doc_id"))
+        .withColumn("bytes_ok", same("n_bytes", "input_bytes"))
     )
     return checked.withColumn(
         "violation", F.when(~F.col("text_ok"), "text").when(~F.col("hash_ok"), "hash").when(~F.col("id_ok"), "doc_id").when(~F.col("bytes_ok"), "bytes")
@@ -129,14 +151,14 @@ def unlabelled_rows(raw: DataFrame, labels: DataFrame) -> DataFrame:
 def first_copies(df: DataFrame, key: str, order: list[str], eligible: Column, out: str = "is_first") -> DataFrame:
     """Add ``out``: whether an eligible row is the first of its key among eligible rows; false for the others.
 
-    The winner of each key is a partial minimum, so a key that holds many rows
-    is no hot spot; rows meet their winner by a join on the key. ``order``
-    must be unique.
+    The winner of each key is a partial minimum, and rows meet the winners by
+    their place, which must be unique; so a key that holds many rows is no hot
+    spot anywhere.
     """
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    winners = df.filter(eligible & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"))
-    joined = df.join(winners, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn(out, F.coalesce(eligible, F.lit(False)) & F.coalesce(place == F.col("_first"), F.lit(False))).drop("_key", "_first")
+    winners = df.filter(eligible & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first")).select("_first")
+    joined = df.join(winners, place == F.col("_first"), "left")
+    return joined.withColumn(out, F.col("_first").isNotNull()).drop("_first")
 
 
 def decide(rows: DataFrame, order: list[str], accepted: Iterable[str] = CLEAN_ROUTES, gated: Iterable[str] = (), fraction: float = 0.01, seed: int = 42) -> DataFrame:
@@ -163,16 +185,35 @@ def audit(decided: DataFrame) -> DataFrame:
 
 
 def label_profile(labels: DataFrame) -> DataFrame:
-    """Rows, truncated and eligible rows, their bytes and fraction, and the histogram of routes, by source."""
+    """Rows, truncated and eligible rows, their bytes and fractions, and the histograms of routes and types, by source.
+
+    ``types`` lists the label's types as read (lower case, '' where there is none) with their counts, in their order.
+    """
     clean = F.col("predicted_route").isin(*CLEAN_ROUTES) & ~F.col("input_truncated")
     eligible = F.coalesce(clean, F.lit(False))
-    return labels.groupBy("source_id").agg(
-        F.count(F.lit(1)).alias("sampled_rows"),
+    kind = F.coalesce(F.lower(F.trim(F.try_variant_get(F.try_parse_json("predicted_label_json"), "$.type", "string"))), F.lit(""))
+    counted = labels.groupBy("source_id", kind.alias("type")).agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("input_truncated")).alias("truncated"),
         F.count_if(eligible).alias("eligible"),
-        F.coalesce(F.sum(F.when(eligible, F.col("input_bytes"))), F.lit(0)).alias("eligible_bytes"),
+        F.sum(F.when(eligible, F.col("input_bytes"))).alias("eligible_bytes"),
+        F.sum("input_bytes").alias("bytes"),
+        F.count("input_bytes").alias("sized"),
         *[F.count_if(F.col("predicted_route") == r).alias(f"route_{r.lower()}") for r in ROUTES],
-        F.round(F.avg(eligible.cast("double")), 6).alias("eligible_fraction"),
+    )
+    share = lambda c: F.round(F.col(c) / F.col("sampled_rows"), 6)
+    return (
+        counted.groupBy("source_id")
+        .agg(
+            F.sum("n").alias("sampled_rows"),
+            F.sum("truncated").alias("truncated"),
+            F.sum("eligible").alias("eligible"),
+            F.coalesce(F.sum("eligible_bytes"), F.lit(0)).alias("eligible_bytes"),
+            F.round(F.sum("bytes") / F.sum("sized"), 6).alias("mean_bytes"),
+            *[F.sum(f"route_{r.lower()}").alias(f"route_{r.lower()}") for r in ROUTES],
+            F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("type", "n"))), lambda x: F.concat_ws(":", x["type"], x["n"].cast("string")))).alias("types"),
+        )
+        .withColumns({"eligible_fraction": share("eligible"), "truncated_fraction": share("truncated"), **{f"{r.lower()}_fraction": share(f"route_{r.lower()}") for r in CLEAN_ROUTES}})
     )
 
 

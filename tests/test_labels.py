@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,14 +16,19 @@ def plan(spark):
     return spark.createDataFrame([(i, s, f"r/{s}", c * 40, "c", "train", "text", "x") for i, (s, c) in enumerate([("one", "a"), ("two", "b")])], PLAN)
 
 
-def world(spark, rows):
+def raw_world(spark, rows):
     """rows: (source, ordinal, text, route, truncated)."""
     where = {"one": ("r/one", "a" * 40, "c", "train"), "two": ("r/two", "b" * 40, "c", "train")}
     raw = spark.createDataFrame([(where[s], o, t) for s, o, t, *_ in rows], RAW)
     ids = raw.select("source", "ordinal", "text", identity.document_id(*[F.col(f"source.{c}") for c in ("repo", "revision", "config", "split")], F.col("ordinal"), F.col("text")).alias("i")).collect()
     known = {(r.source.repo, r.ordinal): r.i for r in ids}
     made = [(s, o, known[where[s][0], o], hashlib.sha256(t.encode()).hexdigest(), len(t.encode()), cut, '{"type": "x"}', route) for s, o, t, route, cut in reversed(rows)]
-    return L.raw_rows(raw, plan(spark)), spark.createDataFrame(made, LABEL)
+    return raw, spark.createDataFrame(made, LABEL)
+
+
+def world(spark, rows):
+    raw, labels = raw_world(spark, rows)
+    return L.raw_rows(raw, plan(spark)), labels
 
 
 ROWS = [
@@ -35,7 +41,7 @@ def decided(spark, rows, **more):
     raw, labels = world(spark, rows)
     joined = L.join_labels(raw, labels)
     L.require_identity(joined)
-    return L.decide(joined.withColumn("pos", F.col("ordinal") * 2 + F.col("plan_idx")).drop("split"), ["pos"], **more)
+    return L.decide(joined.withColumn("pos", F.col("ordinal") * 2 + F.col("plan_idx")), ["pos"], **more)
 
 
 def test_decisions(spark):
@@ -69,8 +75,10 @@ def test_identity_fails_closed(spark, column, value, found):
 
 def test_blank_text_and_missing_rows(spark):
     raw, labels = world(spark, ROWS)
-    blank = raw.withColumn("text", F.when(F.col("ordinal") == 5, F.lit(" \n")).otherwise(F.col("text")))
-    assert {r.violation for r in L.join_labels(blank, labels).filter("ordinal = 5").collect()} == {"text"}
+    for text, found in (("", "text"), (None, "text"), (" \n", None)):
+        rows, wrong = raw_world(spark, [("one", 5, text or " \n", "KEEP", False)])
+        changed = L.raw_rows(rows.withColumn("text", F.lit(text)), plan(spark))
+        assert {r.violation for r in L.join_labels(changed, wrong).collect()} == {found}  # white space is a text
     gone = raw.filter("ordinal < 9")
     assert [(r.source_id, r.row_ordinal) for r in L.missing_rows(gone, labels).collect()] == [("two", 9)]
     assert L.unlabelled_rows(raw, labels.filter("row_ordinal > 0")).count() == 2
@@ -105,3 +113,13 @@ def test_first_copies_among_eligible(spark):
     df = spark.createDataFrame([(0, "h", False), (1, "h", True), (2, "h", True), (3, None, True), (4, "g", None)], "pos bigint, k string, ok boolean")
     got = {r.pos: r.is_first for r in L.first_copies(df, "k", ["pos"], F.coalesce("ok", F.lit(False))).collect()}
     assert got == {0: False, 1: True, 2: False, 3: False, 4: False}
+
+
+def test_texts_are_not_shuffled(spark, tmp_path):
+    raw, labels = raw_world(spark, ROWS)
+    raw.write.parquet(f"{tmp_path}/raw")
+    rows = L.raw_rows(spark.read.parquet(f"{tmp_path}/raw"), plan(spark))
+    plans = [L.join_labels(rows, labels), L.missing_rows(L.raw_keys(spark.read.parquet(f"{tmp_path}/raw"), plan(spark)), labels), L.unlabelled_rows(rows, labels)]
+    for df in plans:
+        shown = df._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in shown.splitlines() if "Exchange" in line and re.search(r"[ (,]text#", line)]
