@@ -8,23 +8,32 @@ range totals are summed over. No task sees the whole stream.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of one range of the order, about, while there are at most so many ranges.
-ROWS_PER_RANGE, MOST_RANGES = 100_000, 1024
+#: Rows of one range of the order, about, while there are at most so many ranges; 65,536 ranges keep 10^10 rows at 150,000 each.
+ROWS_PER_RANGE, MOST_RANGES = 100_000, 1 << 16
 
 
 def _range_of(df: DataFrame, key: str) -> Column:
-    """A column that numbers ranges of ``key``, rising with it. One pass over the key finds how many and where."""
+    """A column that numbers ranges of ``key``, rising with it. Their number grows with the rows; one pass counts, and one more finds the cuts if there is to be more than one range."""
     value = F.col(key).cast("double")
-    n, found = df.agg(F.count(F.lit(1)), F.percentile_approx(value, [i / MOST_RANGES for i in range(1, MOST_RANGES)], 4 * MOST_RANGES)).first()
+    n = df.count()
     parts = min(MOST_RANGES, max(4, n // ROWS_PER_RANGE))
-    cuts = sorted({found[i * MOST_RANGES // parts - 1] for i in range(1, parts)}) if found else []
+    found = df.agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], min(4 * parts, 1 << 18))).first()[0]
+    cuts = sorted(set(found or []))
     if not cuts:
         return F.lit(0)
+    if len(cuts) > 512:
+        # the cuts as one sorted array; a place in it by halving
+        listed = F.array(*map(F.lit, cuts))
+        steps = F.sequence(F.lit(len(cuts).bit_length() - 1), F.lit(0))
+        return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get(listed, at + F.shiftleft(F.lit(1), s) - 1) <= value, F.lit(False)), at + F.shiftleft(F.lit(1), s)).otherwise(at))
     # a balanced tree of comparisons: log2(parts) of them for each row
 
     def tree(lo: int, hi: int) -> Column:
@@ -88,64 +97,132 @@ def round_robin(df: DataFrame, source: str, order: Sequence[str], out: str = "po
     return in_turn.filter(s.isNotNull()).withColumn(out, place).drop("_k")
 
 
-def weighted_schedule(weights: Sequence[float], sizes: Sequence[int]) -> list[tuple[int, int, int, int, int, int]]:
-    """Smooth weighted round-robin over sources of given sizes, as runs.
+#: Ticks in which a cycle is looked for, and ticks of one block of a schedule without one.
+MOST_CYCLE, BLOCK_TICKS = 20_000, 1_000_000
+
+
+class _Turns:
+    """Smooth weighted round-robin, tick by tick.
 
     Each tick adds its weight to the score of every active source, the highest
     score (the first of equals) is picked and pays the sum of the active
     weights; a source found spent when picked leaves, its score already
-    charged. Between two leavings the scores repeat, so a schedule of any
-    length is a few cycles: rows (source, k_from, k_step, repeats, pos_from,
-    pos_step) say that row ``k_from + j * k_step`` of the source stands at
-    ``pos_from + j * pos_step`` for j < repeats.
+    charged.
     """
-    if any(not (w > 0 and w < float("inf")) for w in weights):
-        raise ValueError("weights must be finite and above 0")
-    score, active = [0.0] * len(weights), [True] * len(weights)
-    used = [0] * len(weights)
-    pos = 0
-    runs: list[tuple[int, int, int, int, int, int]] = []
-    seen: dict[tuple[float, ...], tuple[int, tuple[int, ...], int]] = {}
-    log: list[int] = []
-    while any(active):
-        state = tuple(score)
-        if state in seen:
-            at, was, length = seen[state]
-            cycle = log[length:]
-            step = [u - w for u, w in zip(used, was)]
-            turns = min((sizes[i] - used[i]) // step[i] for i in range(len(step)) if step[i])
-            if turns > 0:
+
+    def __init__(self, weights: Sequence[float], sizes: Sequence[int]):
+        if any(not (w > 0 and w < float("inf")) for w in weights):
+            raise ValueError("weights must be finite and above 0")
+        self.weights, self.sizes = list(weights), list(sizes)
+        self.score, self.used, self.active = [0.0] * len(weights), [0] * len(weights), list(range(len(weights)))
+        self.whole = sum(self.weights)
+        self.pos = 0
+
+    def tick(self) -> int | None:
+        """The source that gives the next row; None if the one picked leaves instead."""
+        score, weights = self.score, self.weights
+        for i in self.active:
+            score[i] += weights[i]
+        best = max(self.active, key=score.__getitem__)
+        score[best] -= self.whole
+        if self.used[best] >= self.sizes[best]:
+            self.active.remove(best)
+            self.whole = sum(weights[i] for i in self.active)
+            return None
+        self.used[best] += 1
+        self.pos += 1
+        return best
+
+    def state(self) -> dict:
+        return {"weights": self.weights, "sizes": self.sizes, "score": list(self.score), "used": list(self.used), "active": list(self.active), "pos": self.pos}
+
+    @classmethod
+    def of(cls, state: dict) -> _Turns:
+        out = cls(state["weights"], state["sizes"])
+        out.score, out.used, out.active, out.pos = list(state["score"]), list(state["used"]), list(state["active"]), state["pos"]
+        out.whole = sum(out.weights[i] for i in out.active)
+        return out
+
+
+Run = tuple[int, int, int, int, int, int]
+
+
+def weighted_schedule(weights: Sequence[float], sizes: Sequence[int]) -> tuple[list[Run], list[tuple[dict, int]]]:
+    """Smooth weighted round-robin over sources of given sizes, as runs and blocks.
+
+    Where the scores come back to what they were, a schedule of any length is a
+    few cycles until a source leaves: runs (source, k_from, k_step, repeats,
+    pos_from, pos_step) say that row ``k_from + j * k_step`` of the source
+    stands at ``pos_from + j * pos_step`` for j < repeats. Sums of weights
+    like 0.1 never come back as floating-point numbers; such a stretch is given
+    by the state at the start of each BLOCK_TICKS ticks, from which executors
+    repeat it. The runs of each stretch are at most MOST_CYCLE ticks, the
+    stretches at most the sources, and the blocks one per BLOCK_TICKS rows.
+    """
+    turns = _Turns(weights, sizes)
+    runs: list[Run] = []
+    blocks: list[tuple[dict, int]] = []
+    while turns.active:
+        # until a source leaves
+        stretch = len(turns.active)
+        began, seen, log = turns.pos, {}, []
+        single: list[Run] = []
+        start = turns.state()
+        while len(turns.active) == stretch and len(log) < MOST_CYCLE:
+            key = tuple(turns.score)
+            if key in seen:
+                at, was = seen[key]
+                cycle = log[at:]
+                step = [u - w for u, w in zip(turns.used, was)]
+                laps = min((sizes[i] - turns.used[i]) // step[i] for i in range(len(step)) if step[i])
                 passed = [0] * len(step)
                 for offset, i in enumerate(cycle):
-                    runs.append((i, used[i] + passed[i], step[i], turns, pos + offset, len(cycle)))
+                    if laps:
+                        single.append((i, turns.used[i] + passed[i], step[i], laps, turns.pos + offset, len(cycle)))
                     passed[i] += 1
-                used = [u + turns * s for u, s in zip(used, step)]
-                pos += turns * len(cycle)
-            seen.clear()
-            log.clear()
-            if turns > 0:
-                continue
-        else:
-            seen[state] = (pos, tuple(used), len(log))
-        whole = 0.0
-        best = -1
-        for i, on in enumerate(active):
-            if on:
-                score[i] += weights[i]
-                whole += weights[i]
-                if best < 0 or score[i] > score[best]:
-                    best = i
-        score[best] -= whole
-        if used[best] >= sizes[best]:
-            active[best] = False
-            seen.clear()
-            log.clear()
+                turns.used = [u + laps * n for u, n in zip(turns.used, step)]
+                turns.pos += laps * len(cycle)
+                # less than a lap is left
+                while len(turns.active) == stretch:
+                    i = turns.tick()
+                    if i is not None:
+                        single.append((i, turns.used[i] - 1, 1, 1, turns.pos - 1, 1))
+                break
+            seen[key] = (len(log), list(turns.used))
+            i = turns.tick()
+            if i is not None:
+                log.append(i)
+                single.append((i, turns.used[i] - 1, 1, 1, turns.pos - 1, 1))
+        if len(turns.active) < stretch:
+            runs += single
             continue
-        runs.append((best, used[best], 1, 1, pos, 1))
-        log.append(best)
-        used[best] += 1
-        pos += 1
-    return runs
+        # no cycle: blocks from the start of the stretch on
+        turns = _Turns.of(start)
+        while len(turns.active) == stretch:
+            first = turns.state()
+            for _ in range(BLOCK_TICKS):
+                if turns.tick() is None:
+                    break
+            blocks.append((first, turns.pos - first["pos"]))
+    return runs, blocks
+
+
+def _rows_of_blocks(spark: SparkSession, blocks: list[tuple[dict, int]], names: list[int]) -> DataFrame:
+    """(_s, _k, _pos) of the ticks of blocks, repeated on the executors."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for state, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                turns = _Turns.of(json.loads(state))
+                picks, ks = np.empty(n, np.int64), np.empty(n, np.int64)
+                for j in range(n):
+                    i = turns.tick()
+                    picks[j], ks[j] = names[i], turns.used[i] - 1
+                yield pa.RecordBatch.from_arrays([pa.array(picks), pa.array(ks), pa.array(turns.pos - n + np.arange(n))], ["_s", "_k", "_pos"])
+
+    # scores go through JSON as their shortest digits, which give the same numbers again
+    rows = [(json.dumps(state), n) for state, n in blocks if n]
+    return spark.createDataFrame(rows, "state string, n bigint").repartition(max(1, len(rows))).mapInArrow(run, "_s bigint, _k bigint, _pos bigint")
 
 
 def weighted_round_robin(df: DataFrame, source: str, order: Sequence[str], weights: dict[int, float], out: str = "pos") -> DataFrame:
@@ -153,10 +230,15 @@ def weighted_round_robin(df: DataFrame, source: str, order: Sequence[str], weigh
     spark = df.sparkSession
     sizes = {r[source]: r["n"] for r in df.groupBy(source).agg(F.count(F.lit(1)).alias("n")).collect() if r[source] is not None}
     names = sorted(sizes)
-    runs = weighted_schedule([weights.get(s, 1.0) for s in names], [sizes[s] for s in names])
-    # its size depends on the weights and the number of sources, not on the rows
-    table = spark.createDataFrame([(names[i], *rest) for i, *rest in runs], "_s bigint, _from bigint, _step bigint, _n bigint, _pos bigint, _every bigint")
+    runs, blocks = weighted_schedule([weights.get(s, 1.0) for s in names], [sizes[s] for s in names])
     in_turn = numbered(df.filter(F.col(source).isNotNull()), order, "_k", by=[source])
+    # at most MOST_CYCLE rows per stretch, whatever the sizes
+    table = spark.createDataFrame([(names[i], *rest) for i, *rest in runs], "_s bigint, _from bigint, _step bigint, _n bigint, _at bigint, _every bigint")
     off = F.col("_k") - F.col("_from")
     here = (F.col(source) == F.col("_s")) & (off >= 0) & (off % F.col("_step") == 0) & (off < F.col("_step") * F.col("_n"))
-    return in_turn.join(F.broadcast(table), here).withColumn(out, F.col("_pos") + F.floor(off / F.col("_step")).cast("bigint") * F.col("_every")).drop("_k", "_s", "_from", "_step", "_n", "_pos", "_every")
+    kept = [c for c in df.columns if c != out]
+    placed = in_turn.join(F.broadcast(table), here).select(*kept, (F.col("_at") + F.floor(off / F.col("_step")).cast("bigint") * F.col("_every")).alias(out))
+    if not blocks:
+        return placed
+    ticks = _rows_of_blocks(spark, blocks, names).withColumnRenamed("_k", "_j")
+    return placed.unionByName(in_turn.join(ticks, (F.col(source) == F.col("_s")) & (F.col("_k") == F.col("_j"))).select(*kept, F.col("_pos").alias(out)))

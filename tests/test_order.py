@@ -47,8 +47,14 @@ def simulate(weights, sizes):
     return out
 
 
-def unroll(runs):
+def unroll(schedule):
+    runs, blocks = schedule
     out = {}
+    for state, n in blocks:
+        turns = O._Turns.of(state)
+        for _ in range(n):
+            i = turns.tick()
+            out[turns.pos - 1] = (i, turns.used[i] - 1)
     for i, k, step, n, pos, every in runs:
         for j in range(n):
             assert pos + j * every not in out
@@ -56,21 +62,29 @@ def unroll(runs):
     return [out[p] for p in range(len(out))]
 
 
-def test_weighted_schedule():
+def test_weighted_schedule(monkeypatch):
     rng = random.Random(2)
-    for _ in range(300):
+    monkeypatch.setattr(O, "BLOCK_TICKS", 7)
+    for k in range(300):
+        monkeypatch.setattr(O, "MOST_CYCLE", 20_000 if k % 2 else 6)
         n = rng.randint(1, 5)
-        weights = [rng.choice([0.5, 1.0, 2.0, 3.0]) for _ in range(n)]
+        weights = [rng.choice([0.5, 1.0, 2.0, 3.0] if k % 3 else [0.1, 0.3, 0.7, 0.35]) for _ in range(n)]
         sizes = [rng.choice([0, 1, 3, 40]) for _ in range(n)]
         assert unroll(O.weighted_schedule(weights, sizes)) == simulate(weights, sizes)
     assert [i for i, _ in unroll(O.weighted_schedule([1.0] * 3, [3, 1, 4]))] == [0, 1, 2, 0, 2, 2, 0, 2]
-    assert len(O.weighted_schedule([3.0, 1.0], [3 * 10**9, 10**9])) < 50
+    monkeypatch.undo()
+    assert [len(x) for x in O.weighted_schedule([3.0, 1.0], [3 * 10**9, 10**9])] < [50, 1]
+    runs, blocks = O.weighted_schedule([0.35, 0.2, 0.15, 0.3], [10**6] * 4)
+    assert len(runs) <= 4 * O.MOST_CYCLE and len(blocks) <= 8
+    assert sum(n for *_, n, _, _ in runs) + sum(n for _, n in blocks) == 4 * 10**6
     with pytest.raises(ValueError):
         O.weighted_schedule([0.0], [1])
 
 
-@pytest.mark.parametrize("weights", [{}, {0: 2.0, 2: 0.5}])
-def test_weighted_round_robin(spark, weights):
+@pytest.mark.parametrize("weights", [{}, {0: 2.0, 2: 0.5}, {0: 0.35, 1: 0.2, 2: 0.15}])
+def test_weighted_round_robin(spark, monkeypatch, weights):
+    monkeypatch.setattr(O, "MOST_CYCLE", 5)
+    monkeypatch.setattr(O, "BLOCK_TICKS", 4)
     rows = [(s, s * 100 + k) for s, n in enumerate([3, 1, 14]) for k in range(n)]
     got = O.weighted_round_robin(spark.createDataFrame([*rows, (None, 7)], "s bigint, d bigint"), "s", ["d"], weights).orderBy("pos").collect()
     want = simulate([weights.get(i, 1.0) for i in range(3)], [3, 1, 14])
