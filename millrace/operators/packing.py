@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.order import prefix_sum
+from millrace.storage import materialize
 
 LENGTH = 1024
 
@@ -73,26 +74,39 @@ def source_tokens(cut: DataFrame, source: str) -> DataFrame:
 def pack(docs: DataFrame, tokens: Column, source: str, order: Sequence[str], length: int = LENGTH, end: int = 2, pad: int = 2, budget: int | None = None, vocabulary: int | None = None) -> DataFrame:
     """(chunk_id, tokens, valid_length, token_sources, source), tokens and source names padded to ``length`` (null names on padding).
 
-    A token outside 0..vocabulary-1 is an error.
+    The order must be unique. Tokens are made once and kept; places, lengths
+    and majorities come from their numbers alone, and each document is cut in
+    one pass over its tokens. A token outside 0..vocabulary-1 is an error.
     """
-    ids = docs.withColumn("_tokens", tokens)
+    ids = docs.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.coalesce(F.col(source), F.lit("unknown")).alias("source"), tokens.alias("_tokens"))
     if vocabulary is not None:
         wrong = F.exists("_tokens", lambda t: (t < 0) | (t >= vocabulary))
         ids = ids.withColumn("_tokens", F.when(wrong, F.raise_error(F.lit("a token is outside the vocabulary"))).otherwise(F.col("_tokens")))
-    ids = ids.withColumn("_count", F.size("_tokens").cast("bigint"))
-    cut = slices(placed(ids, F.col("_count"), order, budget), length)
-    piece = F.slice(F.concat(F.col("_tokens"), F.array(F.lit(end))), (F.col("skip") + 1).cast("int"), F.col("n").cast("int"))
-    name = F.coalesce(F.col(source), F.lit("unknown"))
-    parts = cut.select("chunk_id", "offset", "n", piece.alias("piece"), name.alias("source"))
-    whole = parts.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("offset", "n", "piece", "source"))).alias("p"), F.sum("n").alias("valid_length"))
-    filled = whole.withColumn("tokens", F.flatten(F.transform("p", lambda x: x["piece"]))).withColumn("token_sources", F.flatten(F.transform("p", lambda x: F.array_repeat(x["source"], x["n"].cast("int")))))
+    keys = [f"_o{i}" for i in range(len(order))]
+    kept = materialize(ids.select(*keys, "source", F.size("_tokens").cast("bigint").alias("_count"), F.concat("_tokens", F.array(F.lit(end))).alias("_all")), "tokens")
+    place = placed(kept.select(*keys, "source", "_count"), F.col("_count"), keys, budget)
+    majority = chunk_majority(slices(place, length), "source").select(F.col("chunk_id").alias("c"), "valid_length", "source")
+    spot = place.filter(F.col("given") > 0).select(*[F.col(k).alias(f"{k}_") for k in keys], "pre", "given")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    stop = F.col("pre") + F.col("given")
+
+    def part(c: Column) -> Column:
+        start = F.greatest(F.col("pre"), c * length)
+        n = (F.least(stop, (c + 1) * length) - start).cast("int")
+        return F.struct(c.alias("chunk_id"), (start - c * length).cast("int").alias("offset"), F.slice("_all", (start - F.col("pre") + 1).cast("int"), n).alias("piece"))
+
+    chunks = F.sequence(F.floor(F.col("pre") / length).cast("bigint"), F.floor((stop - 1) / length).cast("bigint"))
+    parts = kept.join(spot, same).select(F.explode(F.transform(chunks, part)).alias("x"), F.col("source").alias("s")).select("x.chunk_id", "x.offset", "x.piece", "s")
+    whole = parts.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("offset", "piece", "s"))).alias("p"))
+    filled = whole.join(majority, F.col("chunk_id") == F.col("c"))
     lack = (F.lit(length) - F.col("valid_length")).cast("int")
-    majority = chunk_majority(cut, source).select(F.col("chunk_id").alias("c"), F.col("source"))
-    return filled.join(majority, F.col("chunk_id") == F.col("c")).select(
+    return filled.select(
         "chunk_id",
-        F.concat("tokens", F.array_repeat(F.lit(pad), lack)).alias("tokens"),
+        F.concat(F.flatten(F.transform("p", lambda x: x["piece"])), F.array_repeat(F.lit(pad), lack)).alias("tokens"),
         "valid_length",
-        F.concat("token_sources", F.array_repeat(F.lit(None).cast("string"), lack)).alias("token_sources"),
+        F.concat(F.flatten(F.transform("p", lambda x: F.array_repeat(x["s"], F.size(x["piece"])))), F.array_repeat(F.lit(None).cast("string"), lack)).alias("token_sources"),
         "source",
     )
 
@@ -118,6 +132,29 @@ def per_file_chunks(docs: DataFrame, n_tokens: Column, file: str, order: Sequenc
     )
 
 
+def pack_per_file(docs: DataFrame, tokens: Column, file: str, order: Sequence[str], length: int = LENGTH, end: int = 2, pad: int = 2) -> DataFrame:
+    """(file, chunk, tokens): every file packed on its own; a tail is padded and kept from half a chunk on."""
+    ids = docs.select(F.col(file).alias("file"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], tokens.alias("_tokens"))
+    keys = [f"_o{i}" for i in range(len(order))]
+    kept = materialize(ids.select("file", *keys, F.size("_tokens").cast("bigint").alias("_count"), F.concat("_tokens", F.array(F.lit(end))).alias("_all")), "tokens")
+    place = placed(kept.select("file", *keys, "_count"), F.col("_count"), keys, by=["file"]).filter(F.col("given") > 0)
+    spot = place.select(F.col("file").alias("_f"), *[F.col(k).alias(f"{k}_") for k in keys], "pre", "given")
+    same = F.col("file").eqNullSafe(F.col("_f"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    stop = F.col("pre") + F.col("given")
+
+    def part(c: Column) -> Column:
+        start = F.greatest(F.col("pre"), c * length)
+        return F.struct(c.alias("chunk"), start.alias("at"), F.slice("_all", (start - F.col("pre") + 1).cast("int"), (F.least(stop, (c + 1) * length) - start).cast("int")).alias("piece"))
+
+    chunks = F.sequence(F.floor(F.col("pre") / length).cast("bigint"), F.floor((stop - 1) / length).cast("bigint"))
+    parts = kept.join(spot, same).select("file", F.explode(F.transform(chunks, part)).alias("x")).select("file", "x.*")
+    whole = parts.groupBy("file", "chunk").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"])).alias("ids"))
+    kept_tail = whole.filter(F.size("ids") >= length // 2)
+    return kept_tail.select("file", "chunk", F.concat("ids", F.array_repeat(F.lit(pad), F.lit(length) - F.size("ids"))).alias("tokens"))
+
+
 def shard_of(chunk_id: Column, chunks_per_shard: int) -> Column:
     return F.floor(chunk_id / chunks_per_shard).cast("bigint")
 

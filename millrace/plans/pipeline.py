@@ -21,7 +21,7 @@ from millrace.functions.identity import content_split, document_hash
 from millrace.operators import labels as L
 from millrace.operators import mixing, order, packing, tokenize
 from millrace.sources import sinks
-from millrace.sources.cache import write_cache
+from millrace.sources.cache import content_digest, input_digest, known_cache, write_cache
 from millrace.storage import materialize
 
 
@@ -42,6 +42,7 @@ class Rules:
     length: int = 2048
     max_tokens: int | None = None
     chunks_per_shard: int = 8192
+    max_labels: int | None = None
 
 
 @dataclass
@@ -56,24 +57,28 @@ class Secondary:
 
 
 def decided_rows(upstream: DataFrame, plan: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
-    """All labelled rows with decision, split, pos and text; an inconsistency raises IntegrityError."""
+    """All labelled rows with decision, split and pos, without their texts; an inconsistency raises IntegrityError."""
     L.require_plan(plan)
     ids = [r["id"] for r in plan.select("id").collect()]  # one row per source
-    L.require_valid_labels(labels, ids)
+    L.require_valid_labels(labels, ids, rules.max_labels)
     raw = L.raw_rows(upstream, plan)
-    missing = L.missing_rows(raw, labels).orderBy("source_id", "row_ordinal").limit(1).collect()
+    missing = L.missing_rows(L.raw_keys(upstream, plan), labels).orderBy("source_id", "row_ordinal").limit(1).collect()
     if missing:
         raise L.IntegrityError(f"no raw row at {missing[0]['source_id']}:{missing[0]['row_ordinal']}")
-    joined = materialize(L.join_labels(raw, labels).drop("split"), "joined")
+    joined = materialize(L.join_labels(raw, labels), "joined")
     L.require_identity(joined)
     in_turn = order.weighted_round_robin(joined, "plan_idx", ["ordinal"], rules.weights)
     return L.decide(in_turn, ["pos"], rules.accepted, rules.gated, rules.fraction, rules.seed)
 
 
-def accepted_texts(decided: DataFrame, split: str) -> DataFrame:
-    """(key, text) of the accepted rows of one split ('all' for every split)."""
+def accepted_texts(decided: DataFrame, split: str, texts: DataFrame) -> DataFrame:
+    """(key, text) of the accepted rows of one split ('all' for every split), with the texts (see labels.raw_texts) of just these."""
     kept = decided.filter(F.col("decision") == "accepted")
-    return (kept if split == "all" else kept.filter(F.col("split") == split)).select(F.col("pos").alias("key"), "text")
+    kept = kept if split == "all" else kept.filter(F.col("split") == split)
+    chosen = kept.select(F.col("pos").alias("key"), F.col("source_id").alias("s"), F.col("ordinal").alias("o"))
+    # a raw row that stands twice has one text, as its identity was checked
+    found = texts.select("source_id", "ordinal", "text").join(chosen, (F.col("source_id") == F.col("s")) & (F.col("ordinal") == F.col("o")))
+    return found.groupBy("key").agg(F.first("text").alias("text"))
 
 
 def secondary_texts(source: Secondary, rules: Rules) -> DataFrame:
@@ -87,6 +92,22 @@ def secondary_texts(source: Secondary, rules: Rules) -> DataFrame:
     return rows if source.target_gb is None else order.byte_budget(rows, X.n_bytes(F.col("text")), ["key"], X.gigabytes(source.target_gb))
 
 
+def secondary_counters(source: Secondary, rules: Rules) -> DataFrame:
+    """One row of a secondary source: its rows, those refused by score, as blank and by split, those over the byte budget, and the accepted rows and bytes."""
+    rows = source.rows
+    low = ~X.score_at_least(F.col("score"), source.score_gte) if source.score_gte is not None else F.lit(False)
+    other = F.lit(False) if rules.split == "all" else content_split(document_hash(F.col("text")), rules.fraction, rules.seed) != rules.split
+    state = F.when(low, "low_score").when(X.is_blank(F.col("text")), "blank").when(other, "other_split").otherwise("fits")
+    marked = rows.select("key", X.n_bytes(F.col("text")).alias("n_bytes"), state.alias("state"))
+    counts = marked.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col("state") == s).alias(s) for s in ("low_score", "blank", "other_split", "fits")])
+    fits = marked.filter("state = 'fits'")
+    taken = fits if source.target_gb is None else order.byte_budget(fits, F.col("n_bytes"), ["key"], X.gigabytes(source.target_gb))
+    # two single rows
+    return counts.crossJoin(taken.agg(F.count(F.lit(1)).alias("accepted"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("accepted_bytes"))).select(
+        F.lit(source.name).alias("source"), "n_rows", "low_score", "blank", "other_split", (F.col("fits") - F.col("accepted")).alias("over_budget"), "accepted", "accepted_bytes"
+    )
+
+
 def round_robin_texts(sources: Sequence[DataFrame]) -> DataFrame:
     """Several (key, text) streams as one, a text of each in turn."""
     tagged = [s.withColumn("which", F.lit(i).cast("bigint")) for i, s in enumerate(sources)]
@@ -123,17 +144,29 @@ def mixed_tokens(primary: DataFrame, secondary: Sequence[tuple[DataFrame, float]
 
 
 def prepare_token_cache(spark: SparkSession, upstream: DataFrame, plan: DataFrame, labels: DataFrame, secondary: Sequence[Secondary], tokenizer, path: str, rules: Rules, phase: int = 1, rebuild: bool = False) -> dict:
-    """Write the cache of one phase and its audit below ``path``; returns the cache's manifest."""
+    """Write the cache of one phase and its audit below ``path``; returns the cache's manifest.
+
+    A complete cache of the same rules, phase, tokenizer and inputs is returned
+    as it is; one of others is an error, before anything is written.
+    """
     identity = {
+        "phase": phase,
+        "upstream": input_digest(upstream),
+        "plan": content_digest(plan),
+        "labels": content_digest(labels),
         "split": rules.split,
         "tokenizer": tokenize.fingerprint(tokenizer),
         "rules": settings.fingerprint({k: v for k, v in vars(rules).items()}),
-        "secondary": [[s.name, s.weight, s.score_gte, s.target_gb] for s in secondary],
+        "secondary": [[s.name, s.weight, s.score_gte, s.target_gb, input_digest(s.rows)] for s in secondary],
     }
+    place = f"{path}/{settings.cache_name(phase, rules.split)}"
+    known = None if rebuild else known_cache(spark, place, identity, rules.length)
+    if known:
+        return known
     decided = materialize(decided_rows(upstream, plan, labels, rules), "decided")
-    sinks.write_audit(decided, f"{path}/audit", settings.fingerprint(identity))
+    sinks.write_audit(decided, f"{path}/audit", settings.fingerprint(identity), replace=rebuild)
     streams = [(secondary_texts(s, rules), s.weight) for s in secondary]
-    mixed = mixed_tokens(accepted_texts(decided, rules.split), streams, tokenizer, rules, phase)
+    mixed = mixed_tokens(accepted_texts(decided, rules.split, L.raw_texts(upstream, plan)), streams, tokenizer, rules, phase)
     end, pad = tokenize.special_ids(tokenizer)
     chunks = packing.pack(mixed, F.col("tokens"), "source", ["pos"], rules.length, end, pad, rules.max_tokens)
-    return write_cache(chunks, f"{path}/{settings.cache_name(phase, rules.split)}", identity, rules.length, rules.chunks_per_shard, rebuild=rebuild)
+    return write_cache(chunks, place, identity, rules.length, rules.chunks_per_shard, rebuild=rebuild)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import n_bytes
 from millrace.operators.labels import audit
 from millrace.operators.order import prefix_sum
-from millrace.sources.cache import write_json
+from millrace.sources.cache import CacheError, read_json, write_json
 
 
 def write_rolled_jsonl(docs: DataFrame, path: str, order: list[str], shard_bytes: int = 500 * 1024**2, text: str = "text") -> None:
@@ -19,13 +19,18 @@ def write_rolled_jsonl(docs: DataFrame, path: str, order: list[str], shard_bytes
     cut.repartition("shard").sortWithinPartitions("shard", *order).write.partitionBy("shard").json(path)
 
 
-def write_audit(decided: DataFrame, path: str, fingerprint: str, check=None, limited: bool = False) -> dict:
+def write_audit(decided: DataFrame, path: str, fingerprint: str, check=None, limited: bool = False, replace: bool = False) -> dict:
     """Decisions as Parquet and their counts as a manifest, which is written on failure too.
 
+    An audit of another policy (fingerprint) is kept unless it is to be replaced.
+
     ``check(decided)`` may raise; the manifest then says so, and the error goes
     on. Only a whole pass without a limit is complete.
     """
     spark = decided.sparkSession
+    stored = read_json(spark, f"{path}/manifest.json")
+    if stored and stored.get("fingerprint") != fingerprint and not replace:
+        raise CacheError("the audit was made under another policy")
     manifest: dict = {"version": 2, "fingerprint": fingerprint, "complete": False, "error": None}
     try:
         if check is not None:

@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from test_labels import LABEL, ROWS, plan, world
+from test_labels import LABEL, ROWS, plan, raw_world
 from pyspark.sql import functions as F
 
 from millrace import cli
@@ -13,9 +13,8 @@ from millrace.sources import phases
 
 
 def inputs(spark, rows):
-    raw, labels = world(spark, rows)
-    source = F.struct(*[F.col(c) for c in ("repo", "revision", "config", "split")]).alias("source")
-    return raw.select(source, "ordinal", "text"), plan(spark), labels
+    raw, labels = raw_world(spark, rows)
+    return raw, plan(spark), labels
 
 
 def secondary(spark, texts, **more):
@@ -26,7 +25,9 @@ def secondary(spark, texts, **more):
 def test_decisions_in_turn(spark):
     got = P.decided_rows(*inputs(spark, ROWS), P.Rules()).orderBy("pos").collect()
     assert [(r.source_id, r.ordinal) for r in got] == [("one", 0), ("two", 0), ("one", 2), ("two", 1), ("one", 5), ("two", 2), ("two", 9)]
-    assert [r.text for r in got if r.decision == "accepted"] == ["selam", "yine"]
+    upstream, p, _ = inputs(spark, ROWS)
+    texts = P.accepted_texts(P.decided_rows(*inputs(spark, ROWS), P.Rules()), "all", L.raw_texts(upstream.unionAll(upstream), p))
+    assert [(r.key, r.text) for r in texts.orderBy("key").collect()] == [(0, "selam"), (4, "yine")]
 
 
 def test_missing_row_stops(spark):
@@ -43,6 +44,12 @@ def test_secondary(spark):
     assert {r.text for r in a.union(b).collect()} <= {"aaaa", "dddd", "eeee"}
 
 
+def test_secondary_counters(spark):
+    texts = [("aaaa", "5"), ("bbbb", "1"), ("cccc", None), (" ", "9"), ("dddd", "4"), ("eeee", "7")]
+    row = P.secondary_counters(secondary(spark, texts, score_gte=4.0, target_gb=8.5 / 1024**3), P.Rules(split="all")).first().asDict()
+    assert row == {"source": "web", "n_rows": 6, "low_score": 2, "blank": 1, "other_split": 0, "over_budget": 1, "accepted": 2, "accepted_bytes": 8}
+
+
 @pytest.mark.parametrize("unit", ["tokens", "texts"])
 def test_mixing(spark, unit):
     primary = spark.createDataFrame([(k, "t" * 99) for k in range(60)], "key bigint, text string")
@@ -74,7 +81,7 @@ def test_cache_by_command(spark, tmp_path, capsys):
     }
     file = tmp_path / "c.json"
     file.write_text(json.dumps(config))
-    for command in ("dry-run", "plan", "validate", "prepare-token-cache", "prepare-token-cache"):
+    for command in ("dry-run", "plan", "validate", "validate-datasets", "prepare-token-cache", "prepare-token-cache"):
         assert cli.main([command, "--config", str(file)], spark=spark) == 0
     said = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert said[-1] == said[-2] and said[-1]["complete"] and said[-1]["total_tokens"] == 500 and said[-1]["total_chunks"] == 8
@@ -86,6 +93,16 @@ def test_cache_by_command(spark, tmp_path, capsys):
     assert C.read_cache(spark, str(tmp_path / "cache" / "phase_1")).count() == 8
     with pytest.raises(SystemExit):
         cli.main(["else", "--config", str(file)])
+    # other labels, other secondary files: no stale cache
+    labels.withColumn("predicted_route", F.lit("PREMIUM")).write.mode("overwrite").parquet(str(tmp_path / "l"))
+    with pytest.raises(C.CacheError, match="other data"):
+        cli.main(["prepare-token-cache", "--config", str(file)], spark=spark)
+    assert C.read_json(spark, str(tmp_path / "cache" / "audit" / "manifest.json"))["fingerprint"] == audit["fingerprint"]
+    assert cli.main(["prepare-token-cache", "--config", str(file), "--rebuild"], spark=spark) == 0
+    with open(tmp_path / "en" / "a.jsonl", "a") as f:
+        f.write(json.dumps({"text": "more", "score": 5}) + "\n")
+    with pytest.raises(C.CacheError, match="other data"):
+        cli.main(["prepare-token-cache", "--config", str(file)], spark=spark)
 
 
 def test_phase_folders(tmp_path):
@@ -122,3 +139,41 @@ def test_checkpoints(tmp_path):
 
 def test_labels_schema_is_known():
     assert LABEL.count(",") == 7
+
+
+def test_command_with_a_tokenizer_file_and_frozen_inputs(spark, tmp_path):
+    tokenizer = f"{os.environ.get('MILLRACE_TOKENIZERS', '/opt/tokenizers')}/byte_bpe_50k.tiktoken"
+    if not os.path.exists(tokenizer):
+        pytest.skip("no vocabulary files")
+    upstream, p, labels = inputs(spark, [("one", i, f"metin {i} " * 5, "KEEP", False) for i in range(20)])
+    for name, df in (("u", upstream), ("p", p), ("l", labels)):
+        df.write.parquet(str(tmp_path / name))
+    (tmp_path / "l" / "REVISION").write_text("c" * 40 + "\n")
+    config = {
+        "tables": {"upstream": str(tmp_path / "u"), "plan": str(tmp_path / "p"), "labels": str(tmp_path / "l")},
+        "tokenizer": {"path": tokenizer, "eos_token_id": 50256},
+        "rules": {"length": 32},
+        "phases": [{"id": 1, "max_tokens": 10**6}],
+        "paths": {"cache_dir": str(tmp_path / "cache"), "manifest_dir": str(tmp_path / "m")},
+        "storage_root": str(tmp_path),
+    }
+    file, frozen = tmp_path / "c.json", tmp_path / "frozen.json"
+    file.write_text(json.dumps(config))
+    with pytest.raises(ValueError, match="freeze"):
+        cli.main(["dry-run", "--config", str(file)])
+    os.remove(tmp_path / "l" / "REVISION")
+    with pytest.raises(OSError):
+        cli.main(["freeze-inputs", "--config", str(file), "--output", str(frozen)])
+    (tmp_path / "l" / "REVISION").write_text("c" * 40 + "\n")
+    assert cli.main(["freeze-inputs", "--config", str(file), "--output", str(frozen)]) == 0
+    os.rename(tmp_path / "l" / "REVISION", tmp_path / "l" / "_REVISION")
+    assert cli.main(["prepare-token-cache", "--config", str(frozen), "--split", "all"], spark=spark) == 0
+    chunks = C.read_cache(spark, str(tmp_path / "cache" / "phase_1_all"))
+    from millrace.operators.tokenize import FileTokenizer
+
+    want = [FileTokenizer(tokenizer).encode(f"metin {i} " * 5) + [50256] for i in range(20)]
+    got = [t for r in chunks.orderBy("chunk_id").collect() for t in r.tokens[: r.valid_length]]
+    assert got == sum(want, [])
+    with pytest.raises(ValueError, match="no accepted"):
+        labels.withColumn("predicted_route", F.lit("DROP")).write.mode("overwrite").parquet(str(tmp_path / "l"))
+        cli.main(["validate-datasets", "--config", str(frozen), "--max-documents", "3"], spark=spark)
