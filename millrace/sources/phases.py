@@ -57,6 +57,11 @@ def newest_checkpoint(root: str, marker: str = "training_state.pt") -> str | Non
     return max(whole, key=os.path.getmtime) if whole else None
 
 
+def record_checkpoint(root: str, folder: str, **more) -> None:
+    """Name the newest checkpoint in ``latest.json``, in one step."""
+    put_json(os.path.join(root, "latest.json"), {"path": os.path.relpath(folder, root), **more})
+
+
 def expired_checkpoints(folders: Sequence[str], keep: int) -> list[str]:
     """All but the last ``keep``, in the order given; none if ``keep`` is 0."""
     return list(folders[:-keep]) if keep > 0 else []

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import is_blank, path_matches, strip
@@ -45,16 +47,49 @@ def text_field(value: Column, field: str) -> Column:
     )
 
 
-def scan_jsonl(spark: SparkSession, paths: Sequence[str], field: str = "text") -> DataFrame:
+def numbered_lines(read: DataFrame, out: str = "number") -> DataFrame:
+    """(file, value, ``out``): the non-blank lines of ``spark.read.text(...)``, numbered from 0 in the order of files and lines.
+
+    Files are split as the engine likes; a line's number is that of its split's
+    first line and its place in the split. One small row per split is shared.
+    """
+    block = F.col("_metadata.file_block_start")
+    kept = read.select(F.col("_metadata.file_path").alias("file"), block.alias("_block"), "value").filter(~is_blank(F.col("value")))
+    rows = kept.withColumn("_id", F.monotonically_increasing_id())
+    splits = rows.groupBy(F.col("file").alias("_f"), F.col("_block").alias("_b")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    joined = rows.join(F.broadcast(starts), (F.col("file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return joined.select("file", "value", (F.col("_start") + F.col("_id") - F.col("_first")).alias(out))
+
+
+def scan_jsonl(spark: SparkSession, paths: Sequence[str], field: str = "text", max_samples: int | None = None) -> DataFrame:
     """(file, status, text) of the non-blank lines; ``text`` only where status is 'ok'.
 
     Files that don't exist are passed over. A field that is no string counts
-    as empty_text, a line that is no object as missing_field.
+    as empty_text, a line that is no object as missing_field. With
+    ``max_samples`` above 0 the scan ends with the line that gives so many
+    texts.
     """
-    read = lines(spark, paths).filter(~is_blank(F.col("value")))
     status = text_field(strip(F.col("value")), field)
     text = F.try_variant_get(F.try_parse_json(F.col("value")), f"$.{field}", "string")
-    return read.select("file", status.alias("status"), F.when(status == "ok", text).alias("text"))
+    shown = ["file", status.alias("status"), F.when(status == "ok", text).alias("text")]
+    if not max_samples:
+        return lines(spark, paths).filter(~is_blank(F.col("value"))).select(*shown)
+    found = existing(spark, paths)
+    if not found:
+        return spark.createDataFrame([], "file string, status string, text string")
+    # files in the order given
+    at = {p: i for i, p in enumerate(found)}
+    numbered = None
+    for p in found:
+        part = numbered_lines(spark.read.text(p)).select(F.lit(at[p]).alias("nth"), "number", *shown)
+        numbered = part if numbered is None else numbered.unionByName(part)
+    last = numbered.filter("status = 'ok'").orderBy("nth", "number").limit(max_samples).agg(F.max(F.struct("nth", "number")).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    if last["n"] < max_samples:
+        return numbered.select("file", "status", "text")
+    nth, number = last["m"]
+    return numbered.filter((F.col("nth") < nth) | (F.col("nth") == nth) & (F.col("number") <= number)).select("file", "status", "text")
 
 
 def jsonl_counters(scanned: DataFrame) -> DataFrame:
@@ -80,16 +115,26 @@ def read_labels(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def label_files(listing: Sequence[str], revision: str, files: Sequence[str] | None = None, pattern: str | None = None) -> list[str]:
+    """The label files of a mirror at a pinned revision: those named, which must be in the listing, or those that fit a pattern, sorted."""
+    if not re.fullmatch(r"[0-9a-f]{40}", revision or ""):
+        raise ValueError("the revision must be pinned")
+    chosen = list(files) if files else sorted(p for p in listing if fnmatch.fnmatchcase(p, pattern or "*"))
+    if not chosen:
+        raise ValueError("no label files")
+    if set(chosen) - set(listing):
+        raise ValueError("label files are absent at this revision")
+    return chosen
+
+
 def read_raw_jsonl(spark: SparkSession, path: str, source_id: str, field: str = "text") -> DataFrame:
     """(source_id, ordinal, text) of a local mirror: ordinals count non-blank lines from 0; a line that is no JSON fails the job.
 
-    One mirror is one file read in one task, as its ordinals follow its lines;
-    mirrors are read beside each other.
+    A field that is no string gives a null text, which no identity check passes.
     """
-    whole = spark.read.text(path, wholetext=True)
-    row = whole.select(F.posexplode(F.filter(F.split("value", "\n"), lambda x: ~is_blank(x))).alias("ordinal", "line"))
-    parsed = F.parse_json("line")
-    return row.select(F.lit(source_id).alias("source_id"), F.col("ordinal").cast("bigint").alias("ordinal"), F.try_variant_get(parsed, f"$.{field}", "string").alias("text"))
+    member = F.try_variant_get(F.parse_json("value"), f"$.{field}", "variant")
+    text = F.when(F.schema_of_variant(member) == "STRING", F.try_variant_get(F.parse_json("value"), f"$.{field}", "string"))
+    return numbered_lines(spark.read.text(path), "ordinal").select(F.lit(source_id).alias("source_id"), "ordinal", text.alias("text"))
 
 
 def read_raw_parquet(spark: SparkSession, path: str, source_id: str, field: str = "text") -> DataFrame:
@@ -97,8 +142,6 @@ def read_raw_parquet(spark: SparkSession, path: str, source_id: str, field: str
     read = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(field).alias("text"))
     # one row per file of the source
     sizes = read.groupBy("file").agg((F.max("row") + 1).alias("n"))
-    from pyspark.sql import Window
-
     starts = sizes.select(F.col("file").alias("f"), F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
     return read.join(starts, F.col("file") == F.col("f")).select(F.lit(source_id).alias("source_id"), (F.col("start") + F.col("row")).alias("ordinal"), "text")
 
@@ -138,20 +181,18 @@ def read_scored_jsonl(spark: SparkSession, root: str, score: str, least: float,
 def read_ordered_jsonl(spark: SparkSession, root: str, field: str = "text", score: str = "score") -> DataFrame:
     """(key, text, score) of all JSON-lines files below ``root``, with ``key`` in the order of paths and lines.
 
-    A file is read in one task, as its lines have no other order; unreadable
-    lines are passed over. An absent score reads as 0.0, one that is null as null.
+    Unreadable lines are passed over. An absent score reads as 0.0, one that is
+    null as null.
     """
-    from pyspark.sql import Window
-
-    # wholetext is a parameter of text(), so options for the folder come first
-    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl*").text(root, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    # one row per file
-    files = whole.select("file").distinct().select(F.col("file").alias("f"), (F.row_number().over(Window.orderBy("file")) - 1).cast("bigint").alias("nth"))
-    rows = whole.select("file", F.posexplode(F.split("value", "\n")).alias("line", "value")).join(F.broadcast(files), F.col("file") == F.col("f"))
+    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl*").text(root)
     parsed = F.try_parse_json("value")
     absent = F.try_variant_get(parsed, f"$.{score}", "variant").isNull()
-    return rows.filter(parsed.isNotNull()).select(
-        (F.shiftleft(F.col("nth"), 40) + F.col("line")).alias("key"),
-        F.try_variant_get(parsed, f"$.{field}", "string").alias("text"),
-        F.when(absent, F.lit("0.0")).otherwise(F.try_variant_get(parsed, f"$.{score}", "string")).alias("score"),
+    return (
+        numbered_lines(read, "key")
+        .filter(parsed.isNotNull())
+        .select(
+            "key",
+            F.try_variant_get(parsed, f"$.{field}", "string").alias("text"),
+            F.when(absent, F.lit("0.0")).otherwise(F.try_variant_get(parsed, f"$.{score}", "string")).alias("score"),
+        )
     )

@@ -27,12 +27,38 @@ def test_jsonl(spark, tmp_path):
     assert (c.total, c.valid, c.invalid_json, c.missing_field, c.empty_text) == (16, 4, 2, 6, 4)
     assert R.count_lines(spark, paths) == 18 and R.count_lines(spark, []) == 0
     assert R.scan_jsonl(spark, []).count() == 0
+    first = R.jsonl_counters(R.scan_jsonl(spark, paths, max_samples=3)).first()
+    assert (first.total, first.valid) == (9, 3)
+    assert R.jsonl_counters(R.scan_jsonl(spark, paths, max_samples=9)).first() == c
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"f{k}.jsonl").write_text("".join(f'{{"text": "{k * 1000 + i}"}}\n' + "\n" * (i % 3) for i in range(1000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        read = R.read_raw_jsonl(spark, f"{tmp_path}/*.jsonl", "s")
+        assert read.rdd.getNumPartitions() > 10
+        assert [(r.ordinal, r.text) for r in read.orderBy("ordinal").collect()] == [(i, str(i)) for i in range(3000)]
+        assert [r.text for r in R.read_ordered_jsonl(spark, str(tmp_path)).orderBy("key").collect()] == [str(i) for i in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_label_files():
+    listing = ["labels/b.parquet", "labels/a.parquet", "readme.md"]
+    assert R.label_files(listing, "a" * 40, pattern="labels/*.parquet") == ["labels/a.parquet", "labels/b.parquet"]
+    assert R.label_files(listing, "a" * 40, files=["labels/b.parquet"]) == ["labels/b.parquet"]
+    for revision, more in (("main", {}), ("a" * 40, {"files": ["none"]}), ("a" * 40, {"pattern": "none*"})):
+        with pytest.raises(ValueError):
+            R.label_files(listing, revision, **more)
 
 
 def test_raw_mirror(spark, tmp_path):
     (tmp_path / "m.jsonl").write_text('{"text": "a"}\n\n{"text": "b"}\n \n{"text": 7}\n', encoding="utf-8")
     got = R.read_raw_jsonl(spark, str(tmp_path / "m.jsonl"), "one").orderBy("ordinal").collect()
-    assert [(r.source_id, r.ordinal, r.text) for r in got] == [("one", 0, "a"), ("one", 1, "b"), ("one", 2, "7")]
+    assert [(r.source_id, r.ordinal, r.text) for r in got] == [("one", 0, "a"), ("one", 1, "b"), ("one", 2, None)]
     (tmp_path / "bad.jsonl").write_text('{"text": "a"}\n{oops\n')
     with pytest.raises(Exception):
         R.read_raw_jsonl(spark, str(tmp_path / "bad.jsonl"), "one").collect()
@@ -90,10 +116,18 @@ def test_cache(spark, tmp_path):
     for bad in ({"split": "train", "tokenizer": "t"}, {"split": "test", "tokenizer": "u"}):
         with pytest.raises(C.CacheError):
             C.require_heldout(bad, "t")
-    flat = C.export_shard(C.read_cache(spark, path), m["source_ids"], "uint16")
-    (tmp_path / "tokens.bin").write_bytes(flat["tokens"][0])
-    back = C.import_flat(spark, str(tmp_path / "tokens.bin"), 4, "<class 'numpy.uint16'>").orderBy("chunk_id").collect()
-    assert [r.tokens for r in back] == [r.tokens for r in C.read_cache(spark, path).orderBy("chunk_id").collect()]
+    columns = ["chunk_id", "tokens", "valid_length", "token_sources", "source"]
+    want = [tuple(r) for r in C.read_cache(spark, path).select(*columns).orderBy("chunk_id").collect()]
+    meta = C.export_flat(spark, path, str(tmp_path / "flat"), "uint16")
+    assert meta["num_chunks"] == 3 and os.path.getsize(meta["tokens"]) == 3 * 4 * 2
+    assert [tuple(r) for r in C.read_flat(spark, str(tmp_path / "flat")).select(*columns).orderBy("chunk_id").collect()] == want
+    twice = C.import_flat(spark, [meta["tokens"], meta["tokens"]], 4, "<class 'numpy.uint16'>", source_ids=None).orderBy("chunk_id").collect()
+    assert [r.chunk_id for r in twice] == list(range(6)) and [r.tokens for r in twice] == 2 * [t for _, t, *_ in want]
+    unnamed = C.import_flat(spark, meta["tokens"], 4, None, source_ids=meta["source_ids"], names={1: "tr"})
+    assert {r.source for r in unnamed.collect()} <= {"tr", "2"}
+    (tmp_path / "cut.bin").write_bytes(b"123")
+    with pytest.raises(C.CacheError, match="whole number"):
+        C.import_flat(spark, str(tmp_path / "cut.bin"), 4, "uint16")
     file = next(os.path.join(d, f) for d, _, fs in os.walk(path + "/chunks") for f in fs if f.endswith(".parquet"))
     with open(file, "ab") as f:
         f.write(b"x")
@@ -170,6 +204,29 @@ def test_tokenizer(spark):
         T.encode(spark.createDataFrame([("ş",)], "text string"), "text", letters()).collect()
 
 
+def test_file_tokenizers(spark):
+    folder = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
+    if not os.path.exists(f"{folder}/byte_bpe_50k.tiktoken"):
+        pytest.skip("no vocabulary files")
+    ranks, whole = T.FileTokenizer(f"{folder}/byte_bpe_50k.tiktoken", 50256), T.FileTokenizer(f"{folder}/byte_bpe_50k.json")
+    texts = ["Selam dünya, it's <|endoftext|> 12", "x"]
+    assert ranks.encode_batch(texts) == whole.encode_batch(texts) == [ranks.encode(t) for t in texts]
+    assert len(ranks) == len(whole) == 50257 and len(T.FileTokenizer(f"{folder}/piece_bpe_32k.model")) == 32000
+    df = spark.createDataFrame([(texts[0],), (None,), ("",)], "text string")
+    assert sorted(r.tokens for r in T.encode(df, "text", ranks).collect()) == [[], [], ranks.encode(texts[0])]
+    assert T.fingerprint(ranks) != T.fingerprint(whole)
+    base = whole.settings()
+    assert T.changed_settings(base, json.loads(json.dumps(base))) == []
+    more = json.loads(json.dumps(base))
+    more["model"]["merges"] = more["model"]["merges"][1:]
+    more["normalizer"] = {"type": "NFC"}
+    more["added_tokens"] = []
+    assert T.changed_settings(base, more) == ["normalizer", "merges", "added token <|endoftext|>"]
+    assert T.legacy_special_ids(letters()) == (0, 0)
+    with pytest.raises(ValueError):
+        T.FileTokenizer("x.txt").encode("a")
+
+
 def test_appended_vocabulary(spark):
     def vocab(*tokens):
         return spark.createDataFrame(list(tokens), "token string, id bigint")
@@ -186,10 +243,20 @@ def test_config(tmp_path):
     file.write_text(json.dumps({"phases": [{"id": 1, "max_tokens": 5}], "paths": {"data_dir": "x"}}))
     c = config.load(str(file), {"DATA_DIR": str(tmp_path / "d"), "CACHE_DIR": ""})
     assert c["paths"] == {"data_dir": str(tmp_path / "d")} and config.phase(c, 1)["max_tokens"] == 5
+    c["labels_revision"], c["secondary"] = "a" * 40, [{"name": "web", "path": "x", "revision": "b" * 40}]
     config.require_runnable(c, str(tmp_path))
+    assert config.load(str(file), {"CPT_RESUME": "last"})["checkpointing"] == {"resume_from": "last"}
+    again = config.frozen({**c, "secondary": [{"name": "web"}]}, {"labels": "c" * 40, "web": "d" * 40})
+    assert again["labels_revision"] == "c" * 40 and again["secondary"][0]["revision"] == "d" * 40
+    config.dump(c, str(tmp_path / "out.yaml"))
+    assert config.load(str(tmp_path / "out.yaml"), {}) == c
+    assert config.only({"a": {}, "b": {}}, "b") == {"b": {}} and len(config.only({"a": {}, "b": {}}, None)) == 2
+    for f in (lambda: config.only({}, "x"), lambda: config.frozen(c, {"labels": "main"}), lambda: config.require_same_signature({"data": 1}, {"data": 2})):
+        with pytest.raises(ValueError):
+            f()
     with pytest.raises(ValueError):
         config.phase(c, 2)
-    for wrong in ({**c, "phases": []}, {**c, "paths": {"data_dir": "/etc"}}, {**c, "phases": [{"id": 1}]}):
+    for wrong in ({**c, "phases": []}, {**c, "paths": {"data_dir": "/etc"}}, {**c, "phases": [{"id": 1}]}, {**c, "labels_revision": "main"}, {**c, "secondary": [{"name": "web"}]}):
         with pytest.raises(ValueError):
             config.require_runnable(wrong, str(tmp_path))
     assert config.cache_name(2) == "phase_2" and config.cache_name(2, "test") == "phase_2_test"
