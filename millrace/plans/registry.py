@@ -7,6 +7,7 @@ needs of each text (its length or hash) is taken once and kept.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -190,7 +191,7 @@ _RAW = f"""raw AS (SELECT DISTINCT p.id AS source_id, p.plan_idx, u.ordinal, u.s
 _LABELS = "lab AS (SELECT DISTINCT * FROM cpt_labels)"
 _JOINED = f"""{_RAW}, {_LABELS}, checked AS (
     SELECT r.source_id, r.plan_idx, r.ordinal, l.input_truncated, l.predicted_route, sha256(r.text) AS content_hash,
-        coalesce(NOT regexp_matches(r.text, '\\A{WS}*\\z'), false) AS text_ok,
+        coalesce(r.text <> '', false) AS text_ok,
         coalesce(sha256(r.text) = l.document_hash, false) AS hash_ok,
         coalesce({_SQL_DOCUMENT_ID.format('r.')} = l.doc_id, false) AS id_ok,
         coalesce(strlen(r.text) = l.input_bytes, false) AS bytes_ok
@@ -236,7 +237,7 @@ def _(s, d):
 
 @query("missing_rows", f"WITH {_RAW} SELECT DISTINCT source_id, row_ordinal FROM cpt_labels l WHERE NOT EXISTS (SELECT 1 FROM raw r WHERE r.source_id = l.source_id AND r.ordinal = l.row_ordinal)")
 def _(s, d):
-    return labels.missing_rows(_raw(s, d), table(s, d, "cpt_labels")).select("source_id", "row_ordinal").distinct()
+    return labels.missing_rows(labels.raw_keys(table(s, d, "upstream_identity_v1"), table(s, d, PLAN)), table(s, d, "cpt_labels")).select("source_id", "row_ordinal").distinct()
 
 
 @query("unlabelled_rows", f"WITH {_RAW} SELECT source_id, count(*) AS n FROM raw r WHERE NOT EXISTS (SELECT 1 FROM cpt_labels l WHERE r.source_id = l.source_id AND r.ordinal = l.row_ordinal) GROUP BY ALL")
@@ -258,16 +259,21 @@ _DECIDED = f"""{_JOINED}, once AS (SELECT *, count(*) OVER (PARTITION BY source_
   winners AS (SELECT content_hash, min(pos) AS w FROM placed WHERE good AND NOT held AND NOT cut GROUP BY ALL),
   decided AS (SELECT p.source_id, p.ordinal, p.pos, p.predicted_route AS route, {_sql_split('p.content_hash')} AS split, p.content_hash,
       CASE WHEN NOT good THEN 'excluded_route' WHEN held THEN 'review_gate' WHEN cut THEN 'truncated_input_review' WHEN pos = w THEN 'accepted' ELSE 'duplicate' END AS decision
-    FROM placed p LEFT JOIN winners USING (content_hash))"""
+    FROM placed p LEFT JOIN winners USING (content_hash)
+    UNION ALL SELECT source_id, ordinal, NULL, predicted_route, NULL, content_hash, CASE WHEN c > 1 THEN 'repeated_label' ELSE 'violates_' || violation END FROM once WHERE c > 1 OR violation IS NOT NULL)"""
 
 
 def _decided(s: SparkSession, d: str) -> DataFrame:
-    """Decisions over the labelled rows that pass the identity check and have one label, sources in turn."""
+    """Decisions over all labelled rows. Those that pass the identity check and have one label compete, sources in turn; the others have no place and say why."""
     joined = materialize(_joined(s, d).select("source_id", "plan_idx", "ordinal", "content_hash", "predicted_route", "input_truncated", "violation"), "joined")
     again = joined.groupBy("source_id", "ordinal").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("source_id").alias("s2"), F.col("ordinal").alias("o2"))
-    once = joined.join(again, (F.col("source_id") == F.col("s2")) & (F.col("ordinal") == F.col("o2")), "left_anti").filter(F.col("violation").isNull())
-    in_turn = order.round_robin(once, "plan_idx", ["ordinal"])
-    return labels.decide(in_turn, ["pos"], gated=_GATED, fraction=FRACTION, seed=SEED)
+    marked = joined.join(again, (F.col("source_id") == F.col("s2")) & (F.col("ordinal") == F.col("o2")), "left")
+    fault = F.when(F.col("s2").isNotNull(), F.lit("repeated_label")).when(F.col("violation").isNotNull(), F.concat(F.lit("violates_"), F.col("violation")))
+    told = materialize(marked.select(*joined.columns, fault.alias("fault")), "told")
+    in_turn = order.round_robin(told.filter("fault IS NULL"), "plan_idx", ["ordinal"])
+    decided = labels.decide(in_turn, ["pos"], gated=_GATED, fraction=FRACTION, seed=SEED)
+    refused = told.filter("fault IS NOT NULL").select("*", F.lit(None).cast("bigint").alias("pos"), F.col("fault").alias("decision"), F.lit(None).cast("string").alias("split"))
+    return decided.unionByName(refused)
 
 
 @query("route_decisions", f"WITH {_DECIDED} SELECT source_id, ordinal, pos, route, decision, split FROM decided")
@@ -287,9 +293,13 @@ def _(s, d):
 
 @query(
     "label_profile",
-    """SELECT source_id, count(*) AS sampled_rows, count(*) FILTER (input_truncated) AS truncated, count(*) FILTER (e) AS eligible, CAST(coalesce(sum(input_bytes) FILTER (e), 0) AS BIGINT) AS eligible_bytes, """
+    """WITH typed AS (SELECT source_id, coalesce(lower(trim(CASE WHEN json_valid(predicted_label_json) THEN predicted_label_json::JSON ->> '$.type' END)), '') AS t FROM cpt_labels)
+    SELECT source_id, count(*) AS sampled_rows, count(*) FILTER (input_truncated) AS truncated, count(*) FILTER (e) AS eligible, CAST(coalesce(sum(input_bytes) FILTER (e), 0) AS BIGINT) AS eligible_bytes, """
     + ", ".join(f"count(*) FILTER (predicted_route = '{r}') AS route_{r.lower()}" for r in labels.ROUTES)
-    + ", round(avg(e::INT::DOUBLE), 6) AS eligible_fraction FROM (SELECT *, coalesce(predicted_route IN ('PREMIUM', 'KEEP') AND NOT input_truncated, false) AS e FROM cpt_labels) GROUP BY source_id",
+    + """, round(avg(e::INT::DOUBLE), 6) AS eligible_fraction, round(avg(coalesce(input_truncated, false)::INT::DOUBLE), 6) AS truncated_fraction, round(avg(input_bytes::DOUBLE), 6) AS mean_bytes,
+      round(avg(coalesce(predicted_route = 'PREMIUM', false)::INT::DOUBLE), 6) AS premium_fraction, round(avg(coalesce(predicted_route = 'KEEP', false)::INT::DOUBLE), 6) AS keep_fraction,
+      (SELECT string_agg(t || ':' || n, ',' ORDER BY t) FROM (SELECT t, count(*) AS n FROM typed u WHERE u.source_id IS NOT DISTINCT FROM l.source_id GROUP BY t)) AS types
+      FROM (SELECT *, coalesce(predicted_route IN ('PREMIUM', 'KEEP') AND NOT input_truncated, false) AS e FROM cpt_labels) l GROUP BY source_id""",
 )
 def _(s, d):
     return labels.label_profile(table(s, d, "cpt_labels"))
@@ -318,12 +328,13 @@ def _(s, d):
 
 
 def _sources(s: SparkSession, d: str) -> DataFrame:
-    """Documents with the number of their source in the plan."""
+    """Documents with the number of their source in the plan; those of other sources, or none, are one more source after it."""
     plan = table(s, d, PLAN).select(F.col("id").alias("source"), "plan_idx")
-    return materialize(texts(s, d).join(F.broadcast(plan), "source").select("doc_id", "plan_idx"), "sources")
+    other = table(s, d, PLAN).agg(F.coalesce(F.max("plan_idx") + 1, F.lit(0))).first()[0]
+    return materialize(texts(s, d).join(F.broadcast(plan), "source", "left").select("doc_id", F.coalesce("plan_idx", F.lit(other)).alias("plan_idx")), "sources")
 
 
-_SOURCES = f"src AS (SELECT doc_id, plan_idx, text FROM {T} t JOIN {PLAN} p ON t.source = p.id)"
+_SOURCES = f"src AS (SELECT doc_id, coalesce(plan_idx, (SELECT max(plan_idx) + 1 FROM {PLAN}))::INT AS plan_idx, text FROM {T} t LEFT JOIN {PLAN} p ON t.source = p.id)"
 
 
 @query("round_robin", f"WITH {_SOURCES} SELECT doc_id, plan_idx, row_number() OVER (ORDER BY k, plan_idx) - 1 AS pos FROM (SELECT *, row_number() OVER (PARTITION BY plan_idx ORDER BY doc_id) AS k FROM src)")
@@ -331,14 +342,10 @@ def _(s, d):
     return order.round_robin(_sources(s, d), "plan_idx", ["doc_id"]).select("doc_id", "plan_idx", "pos")
 
 
-def _weight(i: int) -> float:
-    return (2.0, 1.0, 0.5)[i % 3]
-
-
-@query(
-    "weighted_round_robin",
-    f"""WITH RECURSIVE {_SOURCES}, sizes AS (SELECT plan_idx AS i, count(*) AS n FROM src GROUP BY ALL),
-    w AS (SELECT list(i ORDER BY i) AS ids, list(n ORDER BY i) AS ns, list(CASE i % 3 WHEN 0 THEN 2.0 WHEN 1 THEN 1.0 ELSE 0.5 END::DOUBLE ORDER BY i) AS ws FROM sizes),
+def _sql_weighted(weights: tuple[float, ...]) -> str:
+    weight = "CASE " + " ".join(f"WHEN i % {len(weights)} = {k} THEN {w}::DOUBLE" for k, w in enumerate(weights)) + " END"
+    return f"""WITH RECURSIVE {_SOURCES}, sizes AS (SELECT plan_idx AS i, count(*) AS n FROM src GROUP BY ALL),
+    w AS (SELECT list(i ORDER BY i) AS ids, list(n ORDER BY i) AS ns, list({weight} ORDER BY i) AS ws FROM sizes),
     t AS (
       SELECT list_transform(ws, lambda x: 0.0::DOUBLE) AS score, list_transform(ws, lambda x: true) AS act, list_transform(ws, lambda x: 0::BIGINT) AS used, 0::BIGINT AS pos, NULL::INT AS pick, NULL::BIGINT AS k FROM w
       UNION ALL
@@ -346,14 +353,19 @@ def _weight(i: int) -> float:
              list_transform(used, lambda x, j: CASE WHEN j = best AND NOT spent THEN x + 1 ELSE x END), CASE WHEN spent THEN pos ELSE pos + 1 END, CASE WHEN spent THEN NULL ELSE ids[best] END, CASE WHEN spent THEN NULL ELSE used[best] END
       FROM (SELECT *, used[best] >= ns[best] AS spent FROM (SELECT *, list_position(open, list_max(open)) AS best FROM (
         SELECT *, list_transform(s2, lambda x, j: CASE WHEN act[j] THEN x ELSE '-infinity'::DOUBLE END) AS open FROM (
-          SELECT t.*, w.*, list_transform(score, lambda x, j: CASE WHEN act[j] THEN x + ws[j] ELSE x END) AS s2, list_sum(list_transform(ws, lambda x, j: CASE WHEN act[j] THEN x ELSE 0 END)) AS whole
+          SELECT t.*, w.*, list_transform(score, lambda x, j: CASE WHEN act[j] THEN x + ws[j] ELSE x END) AS s2, list_sum(list_transform(ws, lambda x, j: CASE WHEN act[j] THEN (x * 72057594037927936.0::DOUBLE)::HUGEINT ELSE 0::HUGEINT END))::DOUBLE / 72057594037927936.0::DOUBLE AS whole
           FROM t, w WHERE list_contains(act, true)))))),
     turn AS (SELECT doc_id, plan_idx, row_number() OVER (PARTITION BY plan_idx ORDER BY doc_id) - 1 AS k FROM src)
-    SELECT doc_id, plan_idx, t.pos - 1 AS pos FROM turn JOIN t ON turn.plan_idx = t.pick AND turn.k = t.k""",
-)
-def _(s, d):
-    docs = _sources(s, d)
-    return order.weighted_round_robin(docs, "plan_idx", ["doc_id"], {i: _weight(i) for i in range(1000)}).select("doc_id", "plan_idx", "pos")
+    SELECT doc_id, plan_idx, t.pos - 1 AS pos FROM turn JOIN t ON turn.plan_idx = t.pick AND turn.k = t.k"""
+
+
+def _weighted(weights: tuple[float, ...]) -> Query:
+    return lambda s, d: order.weighted_round_robin(_sources(s, d), "plan_idx", ["doc_id"], {i: weights[i % len(weights)] for i in range(1000)}).select("doc_id", "plan_idx", "pos")
+
+
+query("weighted_round_robin", _sql_weighted((2.0, 1.0, 0.5)))(_weighted((2.0, 1.0, 0.5)))
+# sums of these never repeat as floating-point numbers
+query("weighted_round_robin_odd", _sql_weighted((0.35, 0.2, 0.15, 0.3)))(_weighted((0.35, 0.2, 0.15, 0.3)))
 
 
 @query("byte_budget", f"SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes FROM {T} QUALIFY sum(strlen(text)) OVER (ORDER BY doc_id) <= {BYTE_BUDGET}")
@@ -404,7 +416,21 @@ def _(s, d):
     return _mixed(_streams(s, d)).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.avg(first.cast("double")), F.lit(0.0)).alias("ratio"), F.sum(F.when(first, F.col("n") + 1)).alias("first_tokens"), F.sum(F.col("n") + 1).alias("all_tokens"))
 
 
-@query("bernoulli_mix")
+#: Draws of the seeded generator that SQL is given: enough for 10 times the documents of the test tables.
+_DRAWS = "".join(str(int(r.random() < 0.75)) for r in [random.Random(SEED)] for _ in range(20_000))
+
+
+@query(
+    "bernoulli_mix",
+    f"""WITH RECURSIVE bits AS (SELECT '{_DRAWS}' AS s), rws AS (SELECT doc_id, (lang IS DISTINCT FROM 'tr')::INT AS side FROM {T}),
+      num AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY doc_id) - 1 AS k FROM rws), n AS (SELECT count(*) FILTER (side = 0) AS na, count(*) FILTER (side = 1) AS nb FROM rws),
+      t AS (SELECT 0::BIGINT AS i, 0::BIGINT AS a, 0::BIGINT AS b, true AS la, true AS lb, NULL::INT AS side, NULL::BIGINT AS k
+        UNION ALL
+        SELECT i + 1, a + (pick AND NOT spent)::INT, b + (NOT pick AND NOT spent)::INT, la AND NOT (pick AND spent), lb AND NOT (NOT pick AND spent), CASE WHEN NOT spent THEN (NOT pick)::INT END, CASE WHEN NOT spent THEN CASE WHEN pick THEN a ELSE b END END
+        FROM (SELECT *, CASE WHEN pick THEN a >= na ELSE b >= nb END AS spent FROM (
+          SELECT t.*, n.*, CASE WHEN NOT la THEN false WHEN NOT lb THEN true ELSE substr(s, i + 1, 1) = '1' END AS pick FROM t, n, bits WHERE la OR lb)))
+    SELECT doc_id, side, pos FROM num JOIN (SELECT side, k, row_number() OVER (ORDER BY i) - 1 AS pos FROM t WHERE side IS NOT NULL) USING (side, k)""",
+)
 def _(s, d):
     rows = materialize(texts(s, d).select("doc_id", "lang"), "streams")
     return mixing.bernoulli_mix(rows.filter("lang = 'tr'"), rows.filter("NOT (lang <=> 'tr')"), ["doc_id"]).select("doc_id", "side", "pos")
@@ -453,21 +479,42 @@ def _packed(s: SparkSession, d: str) -> DataFrame:
     return packing.pack(texts(s, d).select("doc_id", "source", "text"), packing.code_points(F.col("text")), "source", ["doc_id"], vocabulary=0x110000)
 
 
+_TOK = "tok AS (SELECT pre, src_name, unnest(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2)) AS t, generate_subscripts(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2), 1) - 1 AS j FROM (SELECT *, coalesce(source, 'unknown') AS src_name FROM giv WHERE given > 0))"
+
+
 @query(
     "packed_tokens",
-    f"""WITH {_sql_pack(T, 'doc_id')}, tok AS (SELECT pre, unnest(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2)) AS t, generate_subscripts(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2), 1) - 1 AS j FROM giv WHERE given > 0)
-    SELECT (pre + j) // {LENGTH} AS chunk_id, count(*) AS valid_length, sum(t::BIGINT * ((pre + j) % {LENGTH} + 1))::BIGINT AS weighed FROM tok GROUP BY ALL""",
+    f"""WITH {_sql_pack(T, 'doc_id')}, {_TOK}
+    SELECT chunk_id, valid_length, ids || repeat(',2', ({LENGTH} - valid_length)::INT) AS ids, names FROM (
+      SELECT (pre + j) // {LENGTH} AS chunk_id, count(*) AS valid_length, string_agg(t, ',' ORDER BY pre + j) AS ids, md5(string_agg(src_name, ',' ORDER BY pre + j)) AS names FROM tok GROUP BY ALL)""",
 )
 def _(s, d):
-    """A position-weighted sum of the ids stands for the arrays."""
-    weighed = F.aggregate(F.slice(F.transform("tokens", lambda t, i: t.cast("bigint") * (i + 1)), F.lit(1), F.col("valid_length").cast("int")), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return _packed(s, d).select("chunk_id", "valid_length", weighed.alias("weighed"))
+    """All ids of each chunk, padding included, and a digest of the sources of its tokens."""
+    names = F.array_join(F.slice("token_sources", F.lit(1), F.col("valid_length").cast("int")), ",")
+    return _packed(s, d).select("chunk_id", "valid_length", F.array_join("tokens", ",").alias("ids"), F.md5(names).alias("names"))
 
 
-@query("training_examples", f"WITH {_sql_pack(T, 'doc_id')} SELECT chunk_id, valid_length AS attended, {LENGTH} - valid_length AS ignored, source FROM major")
+@query(
+    "training_examples",
+    f"""WITH {_sql_pack(T, 'doc_id')}, {_TOK} SELECT chunk_id, md5(string_agg(t, ',' ORDER BY pre + j) || repeat(',-100', ({LENGTH} - count(*))::INT)) AS labels,
+      repeat('1', count(*)::INT) || repeat('0', ({LENGTH} - count(*))::INT) AS mask, source FROM tok JOIN major ON (pre + j) // {LENGTH} = chunk_id GROUP BY chunk_id, source""",
+)
 def _(s, d):
     rows = packing.training_examples(_packed(s, d))
-    return rows.select("chunk_id", F.size(F.filter("attention_mask", lambda x: x == 1)).cast("bigint").alias("attended"), F.size(F.filter("labels", lambda x: x == -100)).cast("bigint").alias("ignored"), "source")
+    return rows.select("chunk_id", F.md5(F.array_join("labels", ",")).alias("labels"), F.array_join("attention_mask", "").alias("mask"), "source")
+
+
+@query(
+    "file_chunks",
+    f"""WITH cost AS (SELECT coalesce(source, '') AS file, doc_id, text, length(text) + 1 AS given FROM {T} WHERE length(text) > 0),
+      plc AS (SELECT *, sum(given) OVER (PARTITION BY file ORDER BY doc_id) - given AS pre FROM cost),
+      tok AS (SELECT file, pre, unnest(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2)) AS t, generate_subscripts(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2), 1) - 1 AS j FROM plc)
+    SELECT file, CAST((pre + j) // {LENGTH} AS BIGINT) AS chunk, md5(string_agg(t, ',' ORDER BY pre + j) || repeat(',2', ({LENGTH} - count(*))::INT)) AS ids FROM tok GROUP BY file, chunk HAVING count(*) >= {LENGTH // 2}""",
+)
+def _(s, d):
+    """The chunks of every source packed as a file of its own."""
+    docs = texts(s, d).select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text")
+    return packing.pack_per_file(docs, packing.code_points(F.col("text")), "source", ["doc_id"]).select("file", "chunk", F.md5(F.array_join("tokens", ",")).alias("ids"))
 
 
 @query(

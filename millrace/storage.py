@@ -11,12 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where the setting is absent (local tests)."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where the setting is absent and Spark runs in one process.
+
+    On a cluster a folder of one machine would not be seen by the others, so
+    the setting is needed there.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -42,12 +49,43 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    _tables.add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out
 
 
+_tables: set[str] = set()
+
+
+@atexit.register
+def _release_all() -> None:
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    for path in list(_tables) if spark is not None else ():
+        _remove(spark, path)
+
+
+class Scope:
+    """Tables that live as long as a ``with`` block: all that are materialised inside it are removed at its end.
+
+    For work whose result is written inside the block; a session that runs
+    many queries keeps no tables of those that are done.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> Scope:
+        self._before = set(_tables)
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in _tables - self._before:
+            _remove(self.spark, path)
+
+
 def release(*tables: DataFrame) -> None:
     """Remove the tables behind materialised DataFrames that nothing reads any more."""
     for df in tables:
@@ -67,6 +105,7 @@ def collect_garbage(df: DataFrame) -> None:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
+    _tables.discard(path)
     try:
         jvm = spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)

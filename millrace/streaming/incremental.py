@@ -1,8 +1,10 @@
 """Packing a corpus that arrives in batches.
 
 Structured Streaming hands over micro-batches; the state between them is the
-number of documents and tokens so far and the tokens of the open chunk. It is
-written with the batch it belongs to, so a batch that runs again starts from
+number of documents and of tokens so far, which says where the open chunk
+stands. What is written are slices (which part of which document lies where in
+which chunk), and chunks are put together from them and the documents. The state
+is written with the batch it belongs to, so a batch that runs again starts from
 the same state and writes the same files: interrupted and resumed gives what
 one run gives.
 """
@@ -17,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.packing import placed, slices
 from millrace.sources.cache import read_json, write_json
+from millrace.storage import materialize, release
 
 
 class IncrementalPacker:
@@ -33,11 +36,14 @@ class IncrementalPacker:
         spark = rows.sparkSession
         before = self.state(spark, batch - 1)
         left = None if self.budget is None else max(0, self.budget - before["tokens"])
-        done = placed(rows, self.n_tokens, self.order, left)
+        # the batch is read once: its numbers are kept, not its texts
+        sizes = materialize(rows.select(self.key, self.source, *[c for c in self.order if c not in (self.key, self.source)], self.n_tokens.cast("bigint").alias("_n")), "batch")
+        done = materialize(placed(sizes, F.col("_n"), self.order, left), "placed")
         moved = done.withColumn("pre", F.col("pre") + F.lit(before["tokens"]))
         slices(moved, self.length).select(self.key, F.coalesce(F.col(self.source), F.lit("unknown")).alias("source"), "chunk_id", "skip", "offset", "n").write.mode("overwrite").parquet(f"{self.path}/slices/batch={batch}")
         sums = done.agg(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum("given"), F.lit(0)).alias("t")).first()
         write_json(spark, f"{self.path}/state-{batch}.json", {"documents": before["documents"] + sums["d"], "tokens": before["tokens"] + sums["t"]})
+        release(sizes, done)
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         return stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
