@@ -52,9 +52,9 @@ def _exact_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _target_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each source has and is to have, and whether the mixture keeps to it: within one record, and no record more than four times."""
+    """What each source has and is to have, and whether the mixture keeps to four uses and what it takes to what there is."""
     rows = mixing.source_shares(spark, sf_dir)
-    kept = (F.abs(F.col("actual_share") - F.col("reachable_share")) < 0.01) & (F.col("largest_repeat") <= mixing.MAX_USES)
+    kept = (F.col("largest_repeat") <= mixing.MAX_USES) & (F.col("actual_bytes") <= mixing.MAX_USES * F.col("available_bytes"))
     return rows.select("id", "available_bytes", F.round("target_share", 6).alias("target_share"), kept.alias("kept"))
 
 
