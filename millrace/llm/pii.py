@@ -228,7 +228,9 @@ def disclosive(read: DataFrame) -> DataFrame:
         for role, c in ((BOTH_WORDS, "a"), (LAST_WORD, "b"))
     ]
     numbers = told[0].unionByName(told[1])
-    sums = terms.agg(F.sum("n").alias("words")).crossJoin(pairs.filter("kind = 1").agg(F.sum("n").alias("announced"))).first()  # two single rows
+    none = F.lit(None).cast("bigint")
+    both = terms.select(F.col("n").alias("words"), none.alias("announced")).unionByName(pairs.filter("kind = 1").select(none.alias("words"), F.col("n").alias("announced")))
+    sums = both.agg(F.sum("words").alias("words"), F.sum("announced").alias("announced")).first()
     if not sums["words"] or not sums["announced"]:
         return materialize(numbers, "lexicon")
 
