@@ -99,13 +99,17 @@ def secondary_counters(source: Secondary, rules: Rules) -> DataFrame:
     other = F.lit(False) if rules.split == "all" else content_split(document_hash(F.col("text")), rules.fraction, rules.seed) != rules.split
     state = F.when(low, "low_score").when(X.is_blank(F.col("text")), "blank").when(other, "other_split").otherwise("fits")
     marked = rows.select("key", X.n_bytes(F.col("text")).alias("n_bytes"), state.alias("state"))
-    counts = marked.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col("state") == s).alias(s) for s in ("low_score", "blank", "other_split", "fits")])
     fits = marked.filter("state = 'fits'")
     taken = fits if source.target_gb is None else order.byte_budget(fits, F.col("n_bytes"), ["key"], X.gigabytes(source.target_gb))
-    # two single rows
-    return counts.crossJoin(taken.agg(F.count(F.lit(1)).alias("accepted"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("accepted_bytes"))).select(
-        F.lit(source.name).alias("source"), "n_rows", "low_score", "blank", "other_split", (F.col("fits") - F.col("accepted")).alias("over_budget"), "accepted", "accepted_bytes"
-    )
+    states = marked.select("state", "n_bytes").unionByName(taken.select(F.lit("accepted").alias("state"), "n_bytes"))
+    n = lambda s: F.count_if(F.col("state") == s)
+    return states.agg(
+        F.count_if(F.col("state") != "accepted").alias("n_rows"),
+        *[n(s).alias(s) for s in ("low_score", "blank", "other_split")],
+        (n("fits") - n("accepted")).alias("over_budget"),
+        n("accepted").alias("accepted"),
+        F.coalesce(F.sum(F.when(F.col("state") == "accepted", F.col("n_bytes"))), F.lit(0)).alias("accepted_bytes"),
+    ).select(F.lit(source.name).alias("source"), "*")
 
 
 def round_robin_texts(sources: Sequence[DataFrame]) -> DataFrame:
