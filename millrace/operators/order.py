@@ -17,23 +17,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one range of the order, about, while there are at most so many ranges; 65,536 ranges keep 10^10 rows at 150,000 each.
-ROWS_PER_RANGE, MOST_RANGES = 100_000, 1 << 16
+ROWS_PER_RANGE, FIRST_RANGES, MOST_RANGES = 100_000, 1024, 1 << 16
 
 
 def _range_of(df: DataFrame, key: str) -> Column:
-    """A column that numbers ranges of ``key``, rising with it. Their number grows with the rows; one pass counts, and one more finds the cuts if there is to be more than one range."""
+    """A column that numbers ranges of ``key``, rising with it. Their number grows with the rows: one pass counts and finds up to FIRST_RANGES, and another finds more where they are wanted."""
     value = F.col(key).cast("double")
-    n = df.count()
+
+    def quantiles(parts: int) -> Column:
+        return F.percentile_approx(value, [i / parts for i in range(1, parts)], min(4 * parts, 1 << 18))
+
+    n, found = df.agg(F.count(F.lit(1)), quantiles(FIRST_RANGES)).first()
     parts = min(MOST_RANGES, max(4, n // ROWS_PER_RANGE))
-    found = df.agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], min(4 * parts, 1 << 18))).first()[0]
+    if parts > FIRST_RANGES:
+        found = df.agg(quantiles(parts)).first()[0]
+    elif found:
+        found = [found[i * FIRST_RANGES // parts - 1] for i in range(1, parts)]
     cuts = sorted(set(found or []))
     if not cuts:
         return F.lit(0)
     if len(cuts) > 512:
         # the cuts as one sorted array; a place in it by halving
         listed = F.array(*map(F.lit, cuts))
-        steps = F.sequence(F.lit(len(cuts).bit_length() - 1), F.lit(0))
-        return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get(listed, at + F.shiftleft(F.lit(1), s) - 1) <= value, F.lit(False)), at + F.shiftleft(F.lit(1), s)).otherwise(at))
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(listed, at + step - 1) <= value, F.lit(False)), at + step).otherwise(at))
     # a balanced tree of comparisons: log2(parts) of them for each row
 
     def tree(lo: int, hi: int) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import identity, text
 from millrace.operators import labels, metrics, mixing, order, packing, partition
-from millrace.storage import materialize
+from millrace.storage import materialize, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,11 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").filter(F.col("text").isNotNull())
 
 
+def dealt_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for work on every character: a small table of few files is dealt out over the cores."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).filter(F.col("text").isNotNull())
+
+
 T = "(SELECT * FROM documents WHERE text IS NOT NULL)"
 WS, WS_INLINE = text.WS, text.WS_INLINE
 
@@ -75,17 +80,17 @@ def _sql_split(h: str) -> str:
 
 @query("clean_text", f"SELECT doc_id, {_sql_clean('text')} AS clean FROM {T}")
 def _(s, d):
-    return texts(s, d).select("doc_id", text.clean_text(F.col("text")).alias("clean"))
+    return dealt_texts(s, d).select("doc_id", text.clean_text(F.col("text")).alias("clean"))
 
 
 @query("strip_end_marker", f"SELECT doc_id, {_sql_marker('text')} AS stripped FROM {T}")
 def _(s, d):
-    return texts(s, d).select("doc_id", text.strip_end_marker(F.col("text")).alias("stripped"))
+    return dealt_texts(s, d).select("doc_id", text.strip_end_marker(F.col("text")).alias("stripped"))
 
 
 def _preprocessed(s: SparkSession, d: str) -> DataFrame:
     clean = text.clean_text(text.strip_end_marker(F.col("text")))
-    return texts(s, d).select("doc_id", (F.length("text") > 1_000_000).alias("huge"), text.n_chars(clean).alias("n_clean"))
+    return dealt_texts(s, d).select("doc_id", (F.length("text") > 1_000_000).alias("huge"), text.n_chars(clean).alias("n_clean"))
 
 
 _SQL_PRE = f"(SELECT doc_id, length(text) > 1000000 AS huge, CAST(length({_sql_clean(_sql_marker('text'))}) AS BIGINT) AS n_clean FROM {T})"
@@ -476,7 +481,7 @@ def _(s, d):
 
 
 def _packed(s: SparkSession, d: str) -> DataFrame:
-    return packing.pack(texts(s, d).select("doc_id", "source", "text"), packing.code_points(F.col("text")), "source", ["doc_id"], vocabulary=0x110000)
+    return packing.pack(dealt_texts(s, d), packing.code_points(F.col("text")), "source", ["doc_id"], vocabulary=0x110000)
 
 
 _TOK = "tok AS (SELECT pre, src_name, unnest(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2)) AS t, generate_subscripts(list_append(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)), 2), 1) - 1 AS j FROM (SELECT *, coalesce(source, 'unknown') AS src_name FROM giv WHERE given > 0))"

@@ -21,6 +21,18 @@ def test_prefix_sums_in_ranges(spark, monkeypatch):
     assert {r.k: (r["all"], r.part) for r in got.collect()} == want
 
 
+def test_many_ranges(spark, monkeypatch):
+    """More ranges than the first pass finds, and more than a tree of comparisons holds."""
+    monkeypatch.setattr(O, "ROWS_PER_RANGE", 2)
+    monkeypatch.setattr(O, "FIRST_RANGES", 8)
+    df = spark.range(3000).withColumn("v", F.col("id") % 7)
+    got = O.prefix_sum(df, F.col("v"), ["id"], "before").orderBy("id").collect()
+    want = 0
+    for r in got:
+        assert r.before == want
+        want += r.v
+
+
 def test_prefix_sum_of_nothing(spark):
     assert O.prefix_sum(spark.createDataFrame([], "k bigint, v bigint"), F.col("v"), ["k"], "x").collect() == []
 
