@@ -71,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "p2_found": lambda s, d: crosssplit.cross_split(s, d).found(),
     "p2_report": lambda s, d: crosssplit.cross_split(s, d).report(),
     "p2_exact": _exact_overlaps,
+    "p2_links": lambda s, d: crosssplit.cross_split(s, d).links(),
     "p2_coverage": lambda s, d: crosssplit.cross_split(s, d).coverage(),
     "p3_found": lambda s, d: neardup.near_duplicates(s, d).found(),
     "p3_groups": lambda s, d: neardup.near_duplicates(s, d).groups(),
