@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 
@@ -40,15 +39,28 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 0 < len(files) < cores else df
 
 
+#: Whether Spark removes the shuffle files of a query at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table into the shared folder and read it back.
 
     The table survives the loss of executors, and plans over it start from the
-    files. It is removed when the driver process ends.
+    files. It is removed when the driver process ends. The shuffle files behind
+    it are removed as soon as it is written: nothing reads them again, and
+    otherwise they stay until the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if before is not None:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEANUP, before)
     _tables.add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
@@ -94,16 +106,6 @@ def release(*tables: DataFrame) -> None:
             _remove(df.sparkSession, path)
 
 
-def collect_garbage(df: DataFrame) -> None:
-    """Have Spark remove the shuffle files of finished jobs.
-
-    It does so when the driver happens to collect its garbage, and a driver
-    with much memory may not while executors fill their disks.
-    """
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     _tables.discard(path)
     try:
