@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.words import distinct, from_binary, portions, triples
-from millrace.storage import collect_garbage, materialize
+from millrace.storage import materialize
 
 #: Bits of a filter for each key, and the most bits of all (64 MB); a fuller filter lets more through and loses nothing.
 BITS_PER_KEY, MOST_BITS, CHUNK_BITS = 8, 1 << 29, 1 << 19
@@ -132,9 +132,7 @@ def meet(blocks: DataFrame, least: float) -> DataFrame:
 def candidates(texts: DataFrame, least: float) -> DataFrame:
     """(id, words) -> (a, b), a < b, distinct: among them all pairs of similarity ``least`` or more."""
     # the rows are cheaper made twice, for the cuts of the ranges and for the ranges, than kept on disk
-    blocks = materialize(first_blocks(triple_rows(texts), least), "blocks")
-    collect_garbage(blocks)
-    return meet(blocks, least)
+    return meet(materialize(first_blocks(triple_rows(texts), least), "blocks"), least)
 
 
 def _bit(keys: np.ndarray, bits: int) -> np.ndarray:

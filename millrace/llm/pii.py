@@ -355,7 +355,7 @@ class Names:
         """Spans of names: disclosive words anywhere, and words that disclose a person's place where one is announced."""
         found = list(self._disclosed())
         starts = [s for s, _ in found]
-        longer: list[tuple[int, int]] = []
+        longer: list[tuple[tuple[int, int], list[int]]] = []
         for m in announced(self.folded, self.words):
             span = self._announced(m)
             if not span:
