@@ -89,6 +89,8 @@ def matches(text: list[str], prompt: list[str], at_text: np.ndarray, at_prompt:
 
     Seeds have the same hash; the words themselves are compared here.
     """
+    if not len(at_text):
+        return []
     diagonal = at_text - at_prompt
     order = np.lexsort((at_text, diagonal))
     d, t = diagonal[order], at_text[order]
