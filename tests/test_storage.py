@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 
@@ -63,3 +64,17 @@ def test_the_setting_of_the_session_stays(spark):
         rows = storage.materialize(spark.range(1000).repartition(3), "kept")
         assert rows.count() == 1000 and spark.conf.get(name) == value
     spark.conf.unset(name)
+
+
+def test_shuffle_files_go_without_a_setting_of_the_session(spark):
+    def shuffles():
+        return {name for name in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
+
+    assert spark.conf.get(storage._CLEANUP, None) is None
+    before = shuffles()
+    rows = storage.materialize(spark.range(1000).repartition(3), "kept")
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and rows.count() == 1000
+    assert spark.conf.get(storage._CLEANUP, None) is None
