@@ -162,38 +162,65 @@ def require_heldout(identity: dict, tokenizer_fingerprint: str) -> None:
         raise CacheError("made with another tokenizer")
 
 
-def export_shard(chunks: DataFrame, sources: dict[str, int], dtype: str) -> dict[str, tuple[bytes, str]]:
-    """One shard as flat little-endian arrays with their SHA-256: tokens, majority and token source ids, valid lengths.
+def _encoded(chunks: DataFrame, sources: dict[str, int], dtype: str) -> DataFrame:
+    """Runs of consecutive chunks as flat little-endian arrays: tokens, majority and token source ids, valid lengths."""
 
-    For one shard of bounded size at a time.
-    """
-    import numpy as np
+    def run(it):
+        import numpy as np
+        import pyarrow as pa
 
-    rows = chunks.orderBy("chunk_id").collect()
-    arrays = {
-        "tokens": np.array([r["tokens"] for r in rows], dtype),
-        "source_ids": np.array([sources[r["source"]] for r in rows], np.uint8),
-        "token_sources": np.array([[sources[s] if s is not None else 0 for s in r["token_sources"]] for r in rows], np.uint8),
-        "valid_lengths": np.array([r["valid_length"] for r in rows], np.uint32),
-    }
-    return {k: (a.tobytes(), hashlib.sha256(a.tobytes()).hexdigest()) for k, a in arrays.items()}
+        for batch in it:
+            batch = batch.sort_by("chunk_id")
+            ids = batch.column("chunk_id").to_numpy()
+            tokens, of = batch.column("tokens"), batch.column("token_sources").flatten().dictionary_encode()
+            each = len(tokens.flatten()) // max(len(ids), 1)
+            codes = np.array([*(sources[s] for s in of.dictionary.to_pylist()), 0], np.uint8)
+            arrays = [
+                tokens.flatten().to_numpy(zero_copy_only=False).astype(np.dtype(dtype).newbyteorder("<")).reshape(-1, each),
+                np.array([sources[s] for s in batch.column("source").to_pylist()], np.uint8),
+                codes[of.indices.fill_null(len(codes) - 1).to_numpy(zero_copy_only=False)].reshape(-1, each),
+                batch.column("valid_length").to_numpy().astype("<u4"),
+            ]
+            cuts = [0, *(np.flatnonzero(np.diff(ids) != 1) + 1).tolist(), len(ids)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi > lo:
+                    yield pa.RecordBatch.from_arrays([pa.array([int(ids[lo])]), *(pa.array([x[lo:hi].tobytes()], pa.binary()) for x in arrays)], ["first", *FLAT])
+
+    columns = chunks.select(F.col("chunk_id").cast("bigint"), "tokens", "source", "token_sources", "valid_length")
+    return columns.mapInArrow(run, "first bigint, " + ", ".join(f"{k} binary" for k in FLAT))
 
 
 FLAT = {"tokens": "packed_tokens.bin", "source_ids": "source_ids.bin", "token_sources": "token_source_ids.bin", "valid_lengths": "valid_lengths.bin"}
 
 
+#: Bytes of flat arrays that the driver holds at a time, about; a shard is held whole.
+FLAT_BYTES = 64_000_000
+
+
 def export_flat(spark: SparkSession, path: str, out: str, dtype: str) -> dict:
-    """A valid cache as four flat files and their metadata below ``out``; shard by shard, in the order of chunks. Returns the metadata."""
+    """A valid cache as four flat files and their metadata below ``out``, in the order of chunks; encoded by all executors, many shards at a time. Returns the metadata."""
+    import numpy as np
+
     manifest = validate_cache(spark, path)
     chunks = spark.read.parquet(f"{path}/chunks")
     streams = {}
     for key, name in FLAT.items():
         fs, p = _file(spark, f"{out}/{name}")
-        streams[key] = fs.create(p, True)
-    shards = sorted(r["shard"] for r in chunks.select("shard").distinct().collect())  # one row per shard
-    for shard in shards:
-        for key, (data, _) in export_shard(chunks.filter(F.col("shard") == shard), manifest["source_ids"], dtype).items():
-            streams[key].write(bytearray(data))
+        fs.mkdirs(p.getParent())
+        streams[key] = open(p.toUri().getPath(), "wb") if fs.getScheme() == "file" else fs.create(p, True)  # noqa: SIM115
+    held = {r["shard"]: r["n"] for r in chunks.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per shard
+    width = manifest["seq_len"] * (np.dtype(dtype).itemsize + 1) + 5
+    groups, room = [], 0
+    for shard in sorted(held):
+        if room < held[shard] * width:
+            groups.append([])
+            room = FLAT_BYTES
+        groups[-1].append(shard)
+        room -= held[shard] * width
+    for shards in groups:
+        for row in sorted(_encoded(chunks.filter(F.col("shard").between(shards[0], shards[-1])), manifest["source_ids"], dtype).collect(), key=lambda r: r["first"]):
+            for key, stream in streams.items():
+                stream.write(row[key])
     for stream in streams.values():
         stream.close()
     metadata = {"num_chunks": manifest["total_chunks"], "seq_len": manifest["seq_len"], "dtype": dtype, "source_id_to_name": {str(i): s for s, i in manifest["source_ids"].items()}, **{k: f"{out}/{n}" for k, n in FLAT.items()}}

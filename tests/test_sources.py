@@ -139,6 +139,23 @@ def test_cache(spark, tmp_path):
     assert C.write_cache(chunks(spark), path, {"split": "train"}, 4, rebuild=True)["complete"]
 
 
+def test_flat_export_takes_many_shards_at_a_time(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, "tr" if i % 3 else "en", [i, i + 1, i + 2]) for i in range(40)], "k bigint, source string, ids array<int>")
+    path = str(tmp_path / "cache")
+    C.write_cache(P.pack(df, F.col("ids"), "source", ["k"], 4), path, {"split": "train"}, 4, chunks_per_shard=3)
+    columns = ["chunk_id", "tokens", "valid_length", "token_sources", "source"]
+    want = [tuple(r) for r in C.read_cache(spark, path).select(*columns).orderBy("chunk_id").collect()]
+    for most in (1, 200, 64_000_000):
+        monkeypatch.setattr(C, "FLAT_BYTES", most)
+        out = str(tmp_path / f"flat{most}")
+        spark.sparkContext.setJobGroup(out, out)
+        C.export_flat(spark, path, out, "uint32")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(out))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert [tuple(r) for r in C.read_flat(spark, out).select(*columns).orderBy("chunk_id").collect()] == want
+    assert jobs < 10
+
+
 def test_incomplete_cache_is_none(spark, tmp_path):
     path = str(tmp_path / "cache")
     bad = chunks(spark).withColumn("valid_length", F.raise_error(F.lit("stop")).cast("bigint"))
